@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.quantile import exact_quantile
-from shelfline.functions.scalars import mean_of
+from shelfline.functions.scalars import mean_of, no_value
 from shelfline.functions.weeks import WEEK_KEYS, week_columns, week_number
 
 TICKET_LINE_KEYS = [
@@ -180,9 +180,12 @@ def max_by_key(df: DataFrame, keys: list[str], value: str, out: str) -> DataFram
 
 
 def scale_by_max(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Value over the largest value of its key; 0 where that is 0 or unknown."""
+    """Value over the largest value of its key; 0 where that is 0 or unknown.
+
+    For weekly rows: a key has one row per calendar week.
+    """
     top = F.max(value).over(Window.partitionBy(*keys))
-    return df.withColumn(out, F.coalesce(mean_of(F.col(value), top), F.lit(0.0)))
+    return df.withColumn(out, F.when(no_value(top), F.lit(0.0)).otherwise(mean_of(F.col(value), top)))
 
 
 def load_bounds(target: DataFrame, source: DataFrame, back: int,

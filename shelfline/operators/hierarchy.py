@@ -51,7 +51,7 @@ def avg_scaled_with_stock(tickets: DataFrame, stock: DataFrame) -> DataFrame:
     """
     scaled = scale_by_max(tickets, ["item", "store"], "week_item_qty", "scaled")
     keys = ["week_num", "store", "item"]
-    stocked = stock.where(F.col("item") != 0).select(
+    stocked = stock.select(
         "week_num", F.col("store").cast(tickets.schema["store"].dataType).alias("store"), "item",
         F.lit(True).alias("stocked"))
     return (

@@ -83,9 +83,9 @@ class Inputs:
             F.col("l_partkey").alias("item"),
             F.round(F.col("l_extendedprice") / F.col("l_quantity")).alias("purchase_price"),
             F.col("l_extendedprice").alias("total_cost"),
-            F.round(F.col("l_extendedprice") * (1 - F.col("l_tax")), 2).alias("total_cost_wo_tax"),
+            (F.col("l_extendedprice") * (1 - F.col("l_tax"))).alias("total_cost_wo_tax"),
             F.col("l_quantity").alias("item_qty"),
-            F.round(F.col("l_extendedprice") * F.col("l_discount"), 2).alias("total_margin"),
+            (F.col("l_extendedprice") * F.col("l_discount")).alias("total_margin"),
             F.lit("0").alias("num_acp"),
             F.col("l_linestatus").alias("num_cde"),
             stamp.alias("created_dttm"),

@@ -131,7 +131,7 @@ PARTS: dict[str, str] = {
         UNION ALL SELECT week_num, 'model', model, avg_item_qty_by_model FROM by_model""",
     "level_tops": "SELECT level, name, max(v) AS top FROM levels WHERE name IS NOT NULL GROUP BY ALL",
     "level_scaled": """
-        SELECT week_num, level, name, CASE WHEN top IS NULL OR v IS NULL OR top = 0 THEN 0 ELSE v / top END AS v
+        SELECT week_num, level, name, CASE WHEN top IS NULL OR top = 0 THEN 0 ELSE v / top END AS v
         FROM levels JOIN level_tops USING (level, name)""",
     "attr_weeks": """
         SELECT i.*, c.v AS avg_item_qty_by_class_scaled, s.v AS avg_item_qty_by_subclass_scaled,
@@ -159,8 +159,8 @@ PARTS: dict[str, str] = {
                l_orderkey AS ticket_number, CAST(l_shipdate AS DATE) AS sell_date, '12:00' AS ticket_time,
                l_returnflag AS transaction_type, l_partkey AS item,
                round(l_extendedprice / l_quantity) AS purchase_price, l_extendedprice AS total_cost,
-               round(l_extendedprice * (1 - l_tax), 2) AS total_cost_wo_tax, l_quantity AS item_qty,
-               round(l_extendedprice * l_discount, 2) AS total_margin, '0' AS num_acp, l_linestatus AS num_cde,
+               l_extendedprice * (1 - l_tax) AS total_cost_wo_tax, l_quantity AS item_qty,
+               l_extendedprice * l_discount AS total_margin, '0' AS num_acp, l_linestatus AS num_cde,
                l_shipdate AS created_dttm, l_shipdate + to_seconds(l_linenumber) AS load_dttm
         FROM lineitem""",
     "loaded": """
@@ -199,16 +199,13 @@ PARTS: dict[str, str] = {
         FROM part WHERE p_type <> 'SMALL'""",
 }
 
-FINISHED: dict[str, str] = {}
-
-
 def with_parts(select: str) -> str:
     """Put the named subqueries a statement uses in front of it, in order."""
     needed: list[str] = []
 
     def visit(text: str) -> None:
         for name in PARTS:
-            if name not in needed and re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
+            if name not in needed and re.search(rf"(\bFROM|\bJOIN|,)\s+{name}\b(?!\.)", text):
                 visit(PARTS[name])
                 needed.append(name)
 
@@ -216,7 +213,9 @@ def with_parts(select: str) -> str:
     if not needed:
         return select
     # Each part is used several times by the wide features: compute it once.
-    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({PARTS[n]})" for n in needed) + "\n" + select
+    parts = "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({PARTS[n]})" for n in needed)
+    own = select.strip()
+    return f"{parts},\n{own.removeprefix('WITH ')}" if own.startswith("WITH ") else f"{parts}\n{own}"
 
 
 def week_features(source: str, keys: list[str], measures: list[Measure], reach: Reach) -> str:
@@ -349,7 +348,7 @@ def filled(grid: str) -> str:
 
 PARTS["rebuilt"] = filled("rebuild_grid")
 STORE_LIST = "(1, 2, 3, 5, 8)"
-WEEK_NAMES = [2817 + i for i in range(5)]
+WEEK_NAMES = [2818 + i for i in range(5)]
 
 ORACLES: dict[str, str] = {
     "full_replace_roundtrip": MERGED_ORDERS,
