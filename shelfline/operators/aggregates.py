@@ -185,7 +185,8 @@ def scale_by_max(df: DataFrame, keys: list[str], value: str, out: str) -> DataFr
     For weekly rows: a key has one row per calendar week.
     """
     top = F.max(value).over(Window.partitionBy(*keys))
-    return df.withColumn(out, F.when(no_value(top), F.lit(0.0)).otherwise(mean_of(F.col(value), top)))
+    scaled = F.when(no_value(F.col("_top")), F.lit(0.0)).otherwise(mean_of(F.col(value), F.col("_top")))
+    return df.withColumn("_top", top).withColumn(out, scaled).drop("_top")
 
 
 def load_bounds(target: DataFrame, source: DataFrame, back: int,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.weeks import WEEK_KEYS, year_end_week
@@ -54,9 +54,16 @@ def year_offsets(left: int, right: int) -> list[tuple[str, int]]:
     return [("y", 0), *back, *[(f"next_yw{i}", i) for i in range(1, right + 1)]]
 
 
-def _at(measure: str, time: str, keys: list[str], distance: int) -> Column:
-    at = Window.partitionBy(*keys).orderBy(time).rangeBetween(distance, distance)
-    return F.sum(measure).over(at)
+def _over(function: str, keys: list[str], time: str, first: int, last: int) -> str:
+    """SQL text of an aggregate over the weeks between two distances.
+
+    Text keeps building a few hundred columns cheap on the driver.
+    """
+    def edge(distance: int) -> str:
+        return f"{abs(distance)} {'FOLLOWING' if distance > 0 else 'PRECEDING'}" if distance else "CURRENT ROW"
+
+    return (f"{function} OVER (PARTITION BY {', '.join(keys)} ORDER BY {time} "
+            f"RANGE BETWEEN {edge(first)} AND {edge(last)})")
 
 
 def offset_features(weekly: DataFrame, keys: list[str], measures: list[Measure], reach: Reach) -> DataFrame:
@@ -66,10 +73,10 @@ def offset_features(weekly: DataFrame, keys: list[str], measures: list[Measure],
     one shuffle, one sort.
     """
     features = [
-        _at(m.column, "week_num", keys, distance).alias(f"{m.week}_{suffix}")
+        f"{_over(f'sum({m.column})', keys, 'week_num', distance, distance)} AS {m.week}_{suffix}"
         for suffix, distance in week_offsets(reach.left, reach.right) for m in measures
     ]
-    return weekly.select(*WEEK_KEYS, *keys, *[m.column for m in measures], *features)
+    return weekly.selectExpr(*WEEK_KEYS, *keys, *[m.column for m in measures], *features)
 
 
 def week_calendar(weekly: DataFrame) -> DataFrame:
@@ -106,18 +113,17 @@ def prior_year_features(weekly: DataFrame, calendar: DataFrame, keys: list[str],
         *[F.lit(None).cast(weekly.schema[n].dataType).alias(n) for n in names],
         F.lit(None).cast("int").alias("_given"))
     features = [
-        _at(m.column, "_at", keys, distance).alias(f"{m.year}_{suffix}")
+        f"{_over(f'sum({m.column})', keys, '_at', distance, distance)} AS {m.year}_{suffix}"
         for suffix, distance in year_offsets(reach.year_left, reach.year_right) for m in measures
     ]
-    within = Window.partitionBy(*keys).orderBy("_at").rangeBetween(-reach.year_left, reach.year_right)
-    answered = gives.unionByName(asks).select(
-        *WEEK_KEYS, *keys, *features, F.count("_given").over(within).alias("_found"))
+    found = _over("count(_given)", keys, "_at", -reach.year_left, reach.year_right)
+    answered = gives.unionByName(asks).selectExpr(*WEEK_KEYS, *keys, *features, f"{found} AS _found")
     return answered.where(F.col("week_num").isNotNull() & (F.col("_found") > 0)).drop("_found")
 
 
 def combine_features(by_week: DataFrame, by_year: DataFrame, keys: list[str]) -> DataFrame:
     """Same-year rows with the prior-year features of the same week, where any."""
-    return by_week.join(by_year.drop("year", "week"), ["week_num", *keys], "left").select(
+    return by_week.join(by_year.drop("year", "week"), [*keys, "week_num"], "left").select(
         *by_week.columns, *[c for c in by_year.columns if c not in by_week.columns])
 
 
@@ -126,7 +132,51 @@ def rollup_over_stores(features: DataFrame, measures: list[Measure]) -> DataFram
     priced = tuple(m.column for m in measures if "price" in m.column)
     values = [c for c in features.columns if c not in [*WEEK_KEYS, "store", "item"]]
     return features.groupBy(*WEEK_KEYS, "item").agg(
-        *[(F.avg(c) if c.startswith(priced) else F.sum(c)).alias(c) for c in values])
+        *[F.expr(f"{'avg' if c.startswith(priced) else 'sum'}({c}) AS {c}") for c in values])
+
+
+def _exception_spans(exceptions: DataFrame, reach: Reach) -> DataFrame:
+    """Per (year, week_num) near an exception: which feature distances are hidden.
+
+    Built from the dictionary alone, by listing the weeks around each exception;
+    weeks out of reach of every exception hide nothing and are not listed.
+    """
+    this_year = exceptions.select("year", "week_num")
+    last_year = exceptions.select((F.col("year") + 1).alias("year"), F.col("next_week_num").alias("week_num"))
+    lists = (
+        this_year.withColumn("this", F.lit(True)).unionByName(last_year.withColumn("this", F.lit(False)))
+        .groupBy("year").agg(
+            F.collect_set(F.when(F.col("this"), F.col("week_num"))).alias("this"),
+            F.collect_set(F.when(~F.col("this"), F.col("week_num"))).alias("last"))
+    )
+
+    def around(weeks: DataFrame, left: int, right: int) -> DataFrame:
+        near = F.sequence(F.col("week_num") - right, F.col("week_num") + left)
+        return weeks.select("year", F.explode(near).alias("week_num"))
+
+    near = around(this_year, reach.left, reach.right).unionByName(
+        around(last_year, reach.year_left, reach.year_right)).distinct()
+    week = F.col("week_num")
+    spans = near.join(lists, "year").select(
+        "year", "week_num",
+        nearest_at_or_after(F.col("this"), week - reach.left).alias("p1"),
+        nearest_at_or_before(F.col("this"), week).alias("p2"),
+        nearest_at_or_before(F.col("this"), week + reach.right).alias("n1"),
+        nearest_at_or_after(F.col("this"), week).alias("n2"),
+        nearest_at_or_after(F.col("last"), week - reach.year_left).alias("yp1"),
+        nearest_at_or_before(F.col("last"), week).alias("yp2"),
+        nearest_at_or_before(F.col("last"), week + reach.year_right).alias("yn1"),
+        nearest_at_or_after(F.col("last"), week).alias("yn2"),
+    )
+
+    def hidden(suffix: str, distance: int, low: str, high: str) -> str:
+        return f"week_num + {distance} >= {low} AND week_num + {distance} <= {high} AS hide_{suffix}"
+
+    return spans.selectExpr(
+        "year", "week_num",
+        *[hidden(x, d, *(("p1", "p2") if d < 0 else ("n2", "n1"))) for x, d in week_offsets(reach.left, reach.right)],
+        *[hidden(x, d, *(("yp1", "yp2") if d <= 0 else ("yn2", "yn1")))
+          for x, d in year_offsets(reach.year_left, reach.year_right)])
 
 
 def mask_exceptions(features: DataFrame, exceptions: DataFrame, measures: list[Measure],
@@ -140,41 +190,13 @@ def mask_exceptions(features: DataFrame, exceptions: DataFrame, measures: list[M
     the exceptions of the year before at their week of the following year.
 
     ``exceptions`` (year, week_num, next_week_num) has at most one row per
-    calendar week, so its lists per year are broadcast and rows stay in place.
+    calendar week, and what is made of it at most some tens, so both are
+    broadcast and the wide rows stay in place.
     """
-    listed = exceptions.select(F.col("year").cast("int").alias("year"), "week_num", "next_week_num")
-    lists = (
-        listed.select("year", "week_num", F.lit(None).cast("int").alias("next_week_num"))
-        .unionByName(listed.select(F.col("year") + 1, F.lit(None).cast("int"), "next_week_num")
-                     .toDF("year", "week_num", "next_week_num"))
-        .groupBy("year").agg(F.collect_set("week_num").alias("_this"), F.collect_set("next_week_num").alias("_last"))
-    )
-    week = F.col("week_num")
-    spans = [
-        nearest_at_or_after(F.col("_this"), week - reach.left).alias("_p1"),
-        nearest_at_or_before(F.col("_this"), week).alias("_p2"),
-        nearest_at_or_before(F.col("_this"), week + reach.right).alias("_n1"),
-        nearest_at_or_after(F.col("_this"), week).alias("_n2"),
-        nearest_at_or_after(F.col("_last"), week - reach.year_left).alias("_yp1"),
-        nearest_at_or_before(F.col("_last"), week).alias("_yp2"),
-        nearest_at_or_before(F.col("_last"), week + reach.year_right).alias("_yn1"),
-        nearest_at_or_after(F.col("_last"), week).alias("_yn2"),
-    ]
-    rows = (
-        features.join(F.broadcast(listed.select("week_num").distinct()), "week_num", "left_anti")
-        .join(F.broadcast(lists), "year", "left").select(*features.columns, *spans)
-    )
-
-    def masked(name: str, distance: int, low: str, high: str) -> Column:
-        source = week + distance
-        hidden = F.col(low).isNotNull() & source.between(F.col(low), F.col(high))
-        return F.when(hidden, None).otherwise(F.col(name)).alias(name)
-
-    replaced = {}
-    for suffix, distance in week_offsets(reach.left, reach.right):
-        low, high = ("_p1", "_p2") if distance < 0 else ("_n2", "_n1")
-        replaced |= {f"{m.week}_{suffix}": masked(f"{m.week}_{suffix}", distance, low, high) for m in measures}
-    for suffix, distance in year_offsets(reach.year_left, reach.year_right):
-        low, high = ("_yp1", "_yp2") if distance <= 0 else ("_yn2", "_yn1")
-        replaced |= {f"{m.year}_{suffix}": masked(f"{m.year}_{suffix}", distance, low, high) for m in measures}
-    return rows.select(*[replaced.get(c, F.col(c)) for c in features.columns])
+    spans = F.broadcast(_exception_spans(exceptions, reach))
+    dropped = F.broadcast(exceptions.select("week_num").distinct())
+    rows = features.join(dropped, "week_num", "left_anti").join(spans, ["year", "week_num"], "left")
+    hides = {f"{m.week}_{x}": x for x, _ in week_offsets(reach.left, reach.right) for m in measures}
+    hides |= {f"{m.year}_{x}": x for x, _ in year_offsets(reach.year_left, reach.year_right) for m in measures}
+    return rows.selectExpr(*[
+        f"if(hide_{hides[c]}, NULL, {c}) AS {c}" if c in hides else c for c in features.columns])

@@ -29,9 +29,13 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", list(columns) or None)
+        """A driver table; its schema is read once however often it is used."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, f"{self.folder}/{name}.parquet")
+        return self._tables[name].select(*columns) if columns else self._tables[name]
 
     def tickets(self) -> DataFrame:
         """Ticket lines; returned goods stand for online sales."""

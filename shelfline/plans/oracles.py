@@ -72,7 +72,9 @@ PARTS: dict[str, str] = {
         SELECT {week_cols('sell_date')}, store, item, sum(item_qty) AS item_qty,
                avg(item_qty) AS avg_item_qty, avg(purchase_price) AS avg_purchase_price
         FROM daily GROUP BY ALL""",
-    "basic": """
+    "basic": f"""
+        SELECT * REPLACE ({r('item_qty', 'avg_item_qty', 'avg_purchase_price', 'smooth_item_qty')}) FROM basic_exact""",
+    "basic_exact": """
         SELECT a.*, (SELECT avg(b.item_qty) FROM weekly b WHERE b.store = a.store AND b.item = a.item
                      AND abs(b.week_num - a.week_num) <= 2) AS smooth_item_qty
         FROM weekly a""",
@@ -133,7 +135,10 @@ PARTS: dict[str, str] = {
     "level_scaled": """
         SELECT week_num, level, name, CASE WHEN top IS NULL OR top = 0 THEN 0 ELSE v / top END AS v
         FROM levels JOIN level_tops USING (level, name)""",
-    "attr_weeks": """
+    "attr_weeks": f"""
+        SELECT * REPLACE ({r('sum_item_qty', 'avg_purchase_price', *LEVEL_COLUMNS, 'sum_item_qty_scaled')})
+        FROM attr_weeks_exact""",
+    "attr_weeks_exact": """
         SELECT i.*, c.v AS avg_item_qty_by_class_scaled, s.v AS avg_item_qty_by_subclass_scaled,
                m.v AS avg_item_qty_by_model_scaled,
                sum_item_qty / (SELECT max(sum_item_qty) FROM item_sums z WHERE z.item = i.item) AS sum_item_qty_scaled
@@ -142,7 +147,10 @@ PARTS: dict[str, str] = {
               AND c.name = regexp_extract(i.dept_class_subclass, '^[^|]*[|][^|]*')
         LEFT JOIN level_scaled s ON s.level = 'subclass' AND s.week_num = i.week_num AND s.name = i.dept_class_subclass
         LEFT JOIN level_scaled m ON m.level = 'model' AND m.week_num = i.week_num AND m.name = i.model""",
-    "attr_store_weeks": """
+    "attr_store_weeks": f"""
+        SELECT * REPLACE ({r('week_item_qty', 'avg_purchase_price', *LEVEL_COLUMNS, 'week_item_qty_scaled')})
+        FROM attr_store_weeks_exact""",
+    "attr_store_weeks_exact": """
         SELECT i.year, i.week, i.week_num, i.store, i.item, i.dept_class_subclass, i.model, i.week_item_qty,
                sum_purchase_price / count_tickets AS avg_purchase_price,
                c.v AS avg_item_qty_by_class_scaled, s.v AS avg_item_qty_by_subclass_scaled,
@@ -485,12 +493,8 @@ ORACLES: dict[str, str] = {
     "avg_by_class": f"SELECT * REPLACE ({r('avg_item_qty_by_class')}) FROM by_class",
     "avg_by_subclass": f"SELECT * REPLACE ({r('avg_item_qty_by_subclass')}) FROM by_subclass",
     "avg_by_model": f"SELECT * REPLACE ({r('avg_item_qty_by_model')}) FROM by_model",
-    "attr_by_week": f"""
-        SELECT * REPLACE ({r('sum_item_qty', 'avg_purchase_price', *LEVEL_COLUMNS, 'sum_item_qty_scaled')})
-        FROM attr_weeks""",
-    "attr_by_store": f"""
-        SELECT * REPLACE ({r('week_item_qty', 'avg_purchase_price', *LEVEL_COLUMNS, 'week_item_qty_scaled')})
-        FROM attr_store_weeks""",
+    "attr_by_week": "SELECT * FROM attr_weeks",
+    "attr_by_store": "SELECT * FROM attr_store_weeks",
     "max_val_by_key": """
         SELECT item, store, max(week_item_qty) AS max_week_item_qty FROM store_weeks GROUP BY ALL""",
     "load_bounds": f"""

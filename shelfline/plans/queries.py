@@ -32,7 +32,7 @@ _QUERIES: dict[str, Query] = {}
 
 
 def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    """Add a query; floating results are rounded so that they can be compared."""
+    """Add a query; sums of floating values are rounded so that they can be compared."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return rounded(build(Inputs(spark, folder)))
 
@@ -40,9 +40,15 @@ def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFra
     return build
 
 
+def register_as_is(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """Add a query that only moves values of an already rounded mart."""
+    _QUERIES[build.__name__] = lambda spark, folder: build(Inputs(spark, folder))
+    return build
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*[
-        F.round(f.name, places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+    return df.selectExpr(*[
+        f"round({f.name}, {places}) AS {f.name}" if isinstance(f.dataType, T.DoubleType) else f.name
         for f in df.schema])
 
 
@@ -416,20 +422,20 @@ def _means(i: Inputs, tickets: DataFrame) -> sales.LevelMeans:
 
 def _attr_weeks(i: Inputs) -> DataFrame:
     tickets = materialize(_store_weeks(i), "store-weeks")
-    return hier.attr_by_week(agg.sum_tickets_by_week(tickets), *_means(i, tickets))
+    return rounded(hier.attr_by_week(agg.sum_tickets_by_week(tickets), *_means(i, tickets)))
 
 
 def _attr_store_weeks(i: Inputs) -> DataFrame:
     tickets = materialize(_store_weeks(i), "store-weeks")
-    return hier.attr_by_store(tickets, *_means(i, tickets))
+    return rounded(hier.attr_by_store(tickets, *_means(i, tickets)))
 
 
-@register
+@register_as_is
 def attr_by_week(i: Inputs) -> DataFrame:
     return _attr_weeks(i)
 
 
-@register
+@register_as_is
 def attr_by_store(i: Inputs) -> DataFrame:
     return _attr_store_weeks(i)
 
@@ -566,16 +572,16 @@ def week_calendar(i: Inputs) -> DataFrame:
 
 
 def _basic_weeks(i: Inputs) -> DataFrame:
-    return materialize(sales.basic_weekly(i.daily()), "basic-weeks")
+    return materialize(rounded(sales.basic_weekly(i.daily())), "basic-weeks")
 
 
-@register
+@register_as_is
 def features_by_week(i: Inputs) -> DataFrame:
     return feat.offset_features(
-        sales.basic_weekly(i.daily()), ["store", "item"], feat.BASIC, feat.BASIC_REACH)
+        rounded(sales.basic_weekly(i.daily())), ["store", "item"], feat.BASIC, feat.BASIC_REACH)
 
 
-@register
+@register_as_is
 def features_by_year(i: Inputs) -> DataFrame:
     return sales.basic_features(_basic_weeks(i))[1]
 
@@ -585,30 +591,30 @@ def features_v1(i: Inputs) -> DataFrame:
     return sales.basic_features_by_item(_basic_weeks(i))
 
 
-@register
+@register_as_is
 def features_v2_week(i: Inputs) -> DataFrame:
     return feat.offset_features(_attr_weeks(i), ["item"], feat.BY_ITEM, feat.EXTENDED_REACH)
 
 
-@register
+@register_as_is
 def features_v2_store_week(i: Inputs) -> DataFrame:
     return feat.offset_features(_attr_store_weeks(i), ["store", "item"], feat.BY_STORE, feat.EXTENDED_REACH)
 
 
-@register
+@register_as_is
 def features_v2_year(i: Inputs) -> DataFrame:
     weekly = materialize(_attr_weeks(i), "attr-weeks")
     return feat.prior_year_features(weekly, _calendar(i), ["item"], feat.BY_ITEM, feat.EXTENDED_REACH)
 
 
-@register
+@register_as_is
 def features_v2_store_year(i: Inputs) -> DataFrame:
     weekly = materialize(_attr_store_weeks(i), "attr-store-weeks")
     return feat.prior_year_features(
         weekly, _calendar(i), ["store", "item"], feat.BY_STORE, feat.EXTENDED_REACH)
 
 
-@register
+@register_as_is
 def features_combined(i: Inputs) -> DataFrame:
     weekly = materialize(_attr_weeks(i), "attr-weeks")
     return feat.combine_features(
@@ -616,14 +622,14 @@ def features_combined(i: Inputs) -> DataFrame:
         feat.prior_year_features(weekly, _calendar(i), ["item"], feat.BY_ITEM, feat.EXTENDED_REACH), ["item"])
 
 
-@register
+@register_as_is
 def features_v2_masked(i: Inputs) -> DataFrame:
     calendar = _calendar(i)
     return sales.extended_features(
         materialize(_attr_weeks(i), "attr-weeks"), calendar, i.exceptions(calendar), by_store=False)
 
 
-@register
+@register_as_is
 def features_v2_store_masked(i: Inputs) -> DataFrame:
     calendar = _calendar(i)
     return sales.extended_features(
