@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.keyed import top_n_by
 
-TECH_COLUMNS = ["valid_from_dttm", "valid_to_dttm", "updated_dttm", "is_actual", "load_dttm"]
-
 
 def key_bounds(versions: DataFrame, key: str) -> DataFrame:
     """First start and last end of each key's versions."""

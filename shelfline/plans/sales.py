@@ -13,15 +13,21 @@ from shelfline.operators import aggregates as agg
 from shelfline.operators import features as feat
 from shelfline.operators import hierarchy as hier
 from shelfline.operators.densify import densify_prices
-from shelfline.operators.history import TECH_COLUMNS, scd2_merge
+from shelfline.operators.history import scd2_merge
 from shelfline.operators.products import shred_products
+from shelfline.operators.reconcile import reconcile_partitions
 from shelfline.plans.merges import MERGES, merge_table
 from shelfline.session import materialize
 from shelfline.sources.tables import current_view, read_table, replace_partitions, replace_table
 
-# Weeks rebuilt on every run, by generation of the marts.
+# Weeks rebuilt on every run, by generation of the marts, and days reloaded daily.
 BASIC_REBUILD_WEEKS = 12
 EXTENDED_REBUILD_WEEKS = 7
+RELOAD_DAYS = 7
+
+# Weeks the smoothing looks around, and the most a year can hold.
+SMOOTHING = 2
+YEAR_WEEKS = 53
 
 
 class LevelMeans(NamedTuple):
@@ -42,7 +48,8 @@ def week_first_day(week: Column) -> Column:
 def rebuild_daily(daily: DataFrame, bounds: DataFrame, first_sale: DataFrame) -> DataFrame:
     """Dense daily calendar of the weeks to rebuild, prices from the whole history."""
     first = bounds.select(week_first_day(F.col("min_week"))).scalar()
-    last = bounds.select(F.date_add(week_first_day(F.col("max_week")), 6)).scalar()
+    sunday = F.date_add(week_first_day(F.col("max_week")), 6)
+    last = bounds.select(F.least(sunday, F.col("max_date"))).scalar()
     return densify_prices(daily, first, last, first_sale)
 
 
@@ -74,15 +81,6 @@ def level_means(scaled: DataFrame) -> LevelMeans:
     return LevelMeans(*[hier.scale_level(hier.avg_by_level(scaled, level), level) for level in hier.LEVELS])
 
 
-def extended_weekly(tickets: DataFrame, stock: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Weekly item rows and weekly store-item rows with level means and scaled quantity."""
-    means = level_means(hier.avg_scaled_with_stock(tickets, stock))
-    return (
-        hier.attr_by_week(agg.sum_tickets_by_week(tickets), *means),
-        hier.attr_by_store(tickets, *means),
-    )
-
-
 def extended_features(weekly: DataFrame, calendar: DataFrame, exceptions: DataFrame, by_store: bool) -> DataFrame:
     """Masked features of the week and the year before, by item or store and item."""
     keys, measures = (["store", "item"], feat.BY_STORE) if by_store else (["item"], feat.BY_ITEM)
@@ -102,44 +100,100 @@ def refresh_table(spark: SparkSession, name: str, raw_path: str, target_path: st
     return current_view(read_table(spark, target_path), target.columns, MERGES[name].is_act)
 
 
+def refresh_tickets(spark: SparkSession, raw_path: str, ods_path: str) -> DataFrame:
+    """Reload the ticket days that differ from their raw lines; returns the table."""
+    raw, ods = read_table(spark, raw_path), read_table(spark, ods_path)
+    changed = reconcile_partitions(raw, ods, "sell_date", agg.aggregate_ticket_lines)
+    # Which days differ is read off the table about to change, so settle it first.
+    replace_partitions(materialize(changed, "ticket-days"), ods_path, ["sell_date"])
+    return read_table(spark, ods_path)
+
+
 def refresh_product_history(spark: SparkSession, attributes: DataFrame, families: DataFrame,
                             history_path: str, as_of: dt.datetime, days: int = 7) -> DataFrame:
     """Shred changed product documents and bring them into the history table."""
     history = read_table(spark, history_path)
     versions = shred_products(attributes, families, as_of, days).withColumn(
         "load_dttm", F.lit(as_of).cast(history.schema["load_dttm"].dataType))
-    versions = versions.select(*[c for c in history.columns if c not in TECH_COLUMNS], *TECH_COLUMNS)
     stamp = F.lit(as_of).cast(history.schema["updated_dttm"].dataType)
     replace_table(scd2_merge(history, versions, "item", stamp), history_path)
     return read_table(spark, history_path)
 
 
-def refresh_basic_marts(spark: SparkSession, tickets: DataFrame, online: DataFrame,
-                        sale_sources: list[DataFrame], weekly_path: str, features_path: str,
-                        back: int = BASIC_REBUILD_WEEKS) -> None:
-    """Rebuild the newest weeks of the weekly mart, then their features.
+def refresh_days(spark: SparkSession, tickets: DataFrame, first_sale: DataFrame, daily_path: str,
+                 calendar_path: str, today: dt.date, days: int = RELOAD_DAYS) -> DataFrame:
+    """Reload the newest days of the day sales and of the dense calendar.
+
+    Prices of the calendar come from all days on record, before and after.
+    """
+    first, last = F.lit(today - dt.timedelta(days=days)), F.lit(today)
+    fresh = agg.agg_day_store_item(tickets.where(F.col("sell_date").between(first, last)))
+    replace_partitions(fresh, daily_path, ["sell_date"])
+    dense = densify_prices(read_table(spark, daily_path), first, last, first_sale)
+    replace_partitions(dense, calendar_path, ["sell_date"])
+    return read_table(spark, calendar_path)
+
+
+def refresh_basic_marts(spark: SparkSession, daily: DataFrame, first_sale: DataFrame, weekly_path: str,
+                        features_path: str, back: int = BASIC_REBUILD_WEEKS) -> DataFrame:
+    """Rebuild the newest weeks of the weekly mart and the features they reach.
 
-    One job per mart over all weeks and stores; only the rebuilt week partitions
-    are replaced. Features need the prior year, so they read the whole weekly
-    mart and write the weeks whose reach the rebuilt ones touch.
+    One job per mart over all weeks and stores; only the partitions of those
+    weeks are replaced, and only the weeks they draw on are read.
     """
-    capped = agg.cap_quantities(tickets, agg.outlier_caps(tickets, online))
-    daily = materialize(agg.agg_day_store_item(capped), "daily")
     kept = read_table(spark, weekly_path)
     bounds = materialize(agg.load_bounds(kept, daily, back), "bounds")
-    first_sale = agg.first_sale_date(sale_sources)
-    reach = 2  # smoothing looks two weeks around
-    wider = bounds.withColumns({"min_week": F.col("min_week") - reach, "max_week": F.col("max_week") + reach})
+    wider = bounds.withColumns({
+        "min_week": F.col("min_week") - SMOOTHING, "max_week": F.col("max_week") + SMOOTHING})
     weekly = basic_weekly(rebuild_daily(daily, wider, first_sale))
-    replace_partitions(
-        agg.weeks_to_rebuild(weekly, F.col("week_num"), bounds).select(*kept.columns),
-        weekly_path, ["week_num"])
-    features = basic_features_by_item(read_table(spark, weekly_path))
-    replace_partitions(
-        features.where(F.col("week_num") >= bounds.select(
-            F.col("min_week") - feat.BASIC_REACH.right).scalar()),
-        features_path, ["week_num"])
-
-
-def weeks_of(day: str) -> Column:
-    return week_number(F.col(day))
+    rebuilt = agg.weeks_to_rebuild(weekly, F.col("week_num"), bounds)
+    replace_partitions(rebuilt.select(*kept.columns), weekly_path, ["week_num"])
+
+    reach = feat.BASIC_REACH
+    oldest = F.col("min_week") - reach.right
+    needed = oldest - 2 * YEAR_WEEKS - reach.year_left
+    drawn_on = read_table(spark, weekly_path).where(F.col("week_num") >= bounds.select(needed).scalar())
+    features = basic_features_by_item(drawn_on).where(F.col("week_num") >= bounds.select(oldest).scalar())
+    replace_partitions(features, features_path, ["week_num"])
+    return read_table(spark, features_path)
+
+
+class ExtendedMarts(NamedTuple):
+    """Paths of the extended marts below one root."""
+
+    root: str
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+
+def refresh_stock_marts(spark: SparkSession, stock: DataFrame, daily: DataFrame, marts: ExtendedMarts,
+                        back: int = EXTENDED_REBUILD_WEEKS) -> DataFrame:
+    """Rebuild the newest weeks of the stock by store and by item."""
+    path = marts.path("stock_by_store")
+    bounds = materialize(agg.load_bounds(read_table(spark, path, ["week_num"]), daily, back), "bounds")
+    newest = agg.weeks_to_rebuild(stock, week_number(F.to_date("snapshot")), bounds)
+    replace_partitions(agg.agg_stock_by_store(newest), path, ["week_num"])
+    by_week = agg.agg_stock_by_week(agg.weeks_to_rebuild(read_table(spark, path), F.col("week_num"), bounds))
+    replace_partitions(by_week, marts.path("stock_by_week"), ["week_num"])
+    return read_table(spark, path)
+
+
+def build_extended_marts(spark: SparkSession, daily: DataFrame, item_dates: DataFrame, attributes: DataFrame,
+                         stock_by_store: DataFrame, exceptions: DataFrame, marts: ExtendedMarts) -> None:
+    """Build the ticket marts and masked features anew, each written once and read back."""
+    def write(df: DataFrame, name: str) -> DataFrame:
+        replace_partitions(df, marts.path(name), ["week_num"])
+        return read_table(spark, marts.path(name), df.columns)
+
+    tickets = write(hier.agg_tickets_by_store(daily, item_dates, attributes), "tickets_by_store")
+    scaled = write(hier.avg_scaled_with_stock(tickets, stock_by_store), "avg_tickets_by_week")
+    means = LevelMeans(*[
+        hier.scale_level(write(hier.avg_by_level(scaled, level), f"avg_tickets_by_{level}"), level)
+        for level in hier.LEVELS])
+    sums = write(agg.sum_tickets_by_week(tickets), "sum_tickets_by_week")
+    by_week = write(hier.attr_by_week(sums, *means), "tickets_attr_by_week")
+    by_store = write(hier.attr_by_store(tickets, *means), "tickets_attr_by_store")
+    calendar = write(feat.week_calendar(tickets), "calendar")
+    write(extended_features(by_week, calendar, exceptions, by_store=False), "features_by_item")
+    write(extended_features(by_store, calendar, exceptions, by_store=True), "features_by_store")
