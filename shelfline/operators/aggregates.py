@@ -40,7 +40,7 @@ def outlier_caps(offline: DataFrame, online: DataFrame, min_n: int = 10, q: floa
     A channel caps at its ``q`` quantile (shops: times ``k``) once it has more than
     ``min_n`` tickets, before that at its maximum. Shops follow the channel with
     more tickets; online keeps its own cap if it has enough tickets or leads.
-    Inputs: item, item_qty.
+    Inputs: item, item_qty; lines without a quantity do not count.
     """
     lines = (
         offline.select(F.lit("off").alias("channel"), "item", "item_qty")
@@ -48,17 +48,16 @@ def outlier_caps(offline: DataFrame, online: DataFrame, min_n: int = 10, q: floa
     )
     keys = ["channel", "item"]
     counted = lines.groupBy(*keys, "item_qty").agg(F.count(F.lit(1)).alias("n"))
-    size = counted.groupBy(*keys).agg(F.sum("n").alias("tickets"), F.max("item_qty").alias("top"))
-    high = exact_quantile(counted, keys, "item_qty", "n", q, "high")
+    sizes = exact_quantile(counted, keys, "item_qty", "n", q, "high")
 
     def of(channel: str, column: str, zero: object = 0.0) -> Column:
         picked = F.max(F.when(F.col("channel") == channel, F.col(column)))
         return F.coalesce(picked, F.lit(zero))
 
-    wide = size.join(high, keys, "left").groupBy("item").agg(
-        of("off", "tickets", 0).alias("n_off"), of("off", "top").alias("top_off"),
+    wide = sizes.groupBy("item").agg(
+        of("off", "rows", 0).alias("n_off"), of("off", "top").alias("top_off"),
         (of("off", "high") * k).alias("high_off"),
-        of("on", "tickets", 0).alias("n_on"), of("on", "top").alias("top_on"),
+        of("on", "rows", 0).alias("n_on"), of("on", "top").alias("top_on"),
         of("on", "high").alias("high_on"),
     )
     cap_off = F.when(F.col("n_off") > min_n, F.col("high_off")).otherwise(F.col("top_off"))

@@ -283,7 +283,8 @@ def anti_no_increment(i: Inputs) -> DataFrame:
 
 
 def _priced_days(i: Inputs) -> DataFrame:
-    return i.daily().withColumn("day", F.unix_date("sell_date")).where(F.col("purchase_price") > 0)
+    days = i.daily().select("sell_date", "store", "item", F.unix_date("sell_date").alias("day"), "purchase_price")
+    return materialize(days.where(F.col("purchase_price") > 0), "priced-days")
 
 
 @register

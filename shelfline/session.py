@@ -18,6 +18,8 @@ def build_session(app: str = "shelfline", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a join's hot keys even where the next step must then shuffle again.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         # Week and year features are both laid out by key: join them where they lie.
         "spark.sql.requireAllClusterKeysForCoPartition": "false",
