@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.quantile import exact_quantile
 from shelfline.functions.scalars import mean_of, no_value
 from shelfline.functions.weeks import WEEK_KEYS, week_columns, week_number
+from shelfline.operators.keyed import spread_join
 
 TICKET_LINE_KEYS = [
     "store", "checkout_number", "ticket_number", "sell_date", "ticket_time",
@@ -72,7 +73,7 @@ def outlier_caps(offline: DataFrame, online: DataFrame, min_n: int = 10, q: floa
 
 def cap_quantities(tickets: DataFrame, caps: DataFrame) -> DataFrame:
     """Add raw and capped quantity; items without a cap keep theirs."""
-    joined = tickets.join(caps.select("item", "item_qty_max_offline"), "item", "left")
+    joined = spread_join(tickets, caps.select("item", "item_qty_max_offline"), "item")
     return joined.select(
         *tickets.columns,
         F.col("item_qty").alias("item_qty_raw"),

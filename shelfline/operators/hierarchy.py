@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.scalars import key_prefix, mean_of, natural_key
 from shelfline.functions.weeks import WEEK_KEYS, week_columns
 from shelfline.operators.aggregates import scale_by_max
+from shelfline.operators.keyed import spread_join
 
 # Attribute number under which an item's stop date is kept.
 STOP_DATE_UDA = 6
@@ -31,14 +32,14 @@ def agg_tickets_by_store(daily: DataFrame, item_dates: DataFrame, attributes: Da
     stops = item_dates.where(F.col("uda_id") == STOP_DATE_UDA).select("item", "uda_date")
     still_sold = F.col("uda_date").isNull() | (F.col("uda_date") > F.date_add("sell_date", STOP_MARGIN_DAYS))
     weekly = (
-        daily.join(stops, "item", "left").where(still_sold)
+        spread_join(daily, stops, "item").where(still_sold)
         .groupBy(*week_columns(F.col("sell_date")), "store", "item").agg(
             F.sum("item_qty").alias("week_item_qty"),
             F.sum("purchase_price").alias("sum_purchase_price"),
             F.count("item_qty").alias("count_tickets"),
         )
     )
-    return weekly.join(attributes, "item", "left").select(
+    return spread_join(weekly, attributes, "item").select(
         *WEEK_KEYS, "store", "item", "dept_class_subclass", "model",
         "week_item_qty", "sum_purchase_price", "count_tickets",
     )

@@ -27,6 +27,19 @@ def latest_by(df: DataFrame, keys: list[str], order_by: list[str] | None = None)
     return top_n_by(df, keys, order or [F.lit(1)], 1)
 
 
+def spread_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left",
+                spread: int = 8) -> DataFrame:
+    """Join a lookup table of one row per key to rows of which one key may hold very many.
+
+    A key's rows are dealt out over ``spread`` tasks by a hash of their content,
+    and the lookup row is sent to each of them. A lookup small enough to be
+    broadcast by size still is.
+    """
+    dealt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)).cast("int")
+    copies = lookup.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    return df.withColumn("_deal", dealt).join(copies, [key, "_deal"], how).drop("_deal")
+
+
 def merge_increment(raw: DataFrame, target: DataFrame, key: list[str],
                     order_by: str | None = None, nk: Column | None = None,
                     mapping: dict[str, Column] | None = None,

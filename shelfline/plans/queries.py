@@ -242,8 +242,10 @@ def json_array_filter(i: Inputs) -> DataFrame:
 @register
 def join_inner_attr(i: Inputs) -> DataFrame:
     attributes = hier.item_attr(i.item_master(), i.products())
-    return i.tickets().join(attributes, "item").groupBy("dept_class_subclass", "model").agg(
+    per_item = i.tickets().groupBy("item").agg(
         F.count(F.lit(1)).alias("tickets"), F.sum("item_qty").alias("item_qty"))
+    return per_item.join(attributes, "item").groupBy("dept_class_subclass", "model").agg(
+        F.sum("tickets").alias("tickets"), F.sum("item_qty").alias("item_qty"))
 
 
 def _store_weeks(i: Inputs) -> DataFrame:

@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfline.functions.scalars import natural_key, true_flag
-from shelfline.operators.keyed import latest_by, merge_increment, top_n_by
+from shelfline.operators.keyed import latest_by, merge_increment, spread_join, top_n_by
 from shelfline.plans.merges import MERGES, merge_table
 
 SCHEMA = "k int, stamp int, v string, is_actual string"
@@ -66,3 +66,10 @@ def test_web_order_key_brings_stamps_to_one_layout(spark):
 def test_every_listed_table_has_a_key():
     assert len(MERGES) == 24
     assert all(spec.key for spec in MERGES.values())
+
+
+def test_spread_join_is_a_left_join(spark):
+    df = spark.createDataFrame([(1, n) for n in range(50)] + [(2, 0), (None, 0)], "k int, n int")
+    lookup = spark.createDataFrame([(1, "a"), (3, "c")], "k int, v string")
+    assert rows(spread_join(df, lookup, "k")) == rows(df.join(lookup, "k", "left"))
+    assert rows(spread_join(df, lookup, "k", "inner")) == rows(df.join(lookup, "k"))
