@@ -86,7 +86,7 @@ def week_calendar(weekly: DataFrame) -> DataFrame:
     its year to the year's end.
     """
     weeks = weekly.select(*WEEK_KEYS).distinct()
-    spans = weekly.groupBy("year").agg(
+    spans = weeks.groupBy("year").agg(
         (year_end_week(F.col("year")) - F.min("week_num") + 1).alias("_weeks"))
     # One row per year of the calendar.
     return weeks.join(F.broadcast(spans), "year", "left").select(

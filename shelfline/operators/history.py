@@ -25,26 +25,28 @@ def scd2_merge(target: DataFrame, increment: DataFrame, key: str, as_of: Column)
     """
     columns = target.columns
     bounds = key_bounds(increment, key)
-    touched = target.join(bounds, key)
-    untouched = target.join(bounds.select(key), key, "left_anti")
-
     second = F.expr("interval 1 second")
-    start, end = F.col("valid_from_dttm"), F.col("valid_to_dttm")
-    rewritten = {
+    start, end, known = F.col("valid_from_dttm"), F.col("valid_to_dttm"), F.col("inc_from").isNotNull()
+    moved = {
         "valid_from_dttm": F.when(start >= F.col("inc_from"), F.col("inc_to") + second).otherwise(start),
         "valid_to_dttm": F.when(end <= F.col("inc_to"), F.col("inc_from") - second).otherwise(end),
         "updated_dttm": as_of,
         "is_actual": F.when(F.col("is_actual") == "1", F.lit("0")).otherwise(F.col("is_actual")),
     }
-    closed = touched.select(*[rewritten.get(c, F.col(c)).alias(c) for c in columns]).where(start < end)
+    kept = F.struct(F.lit(False).alias("_closing"), *columns)
+    closing = F.struct(F.lit(True).alias("_closing"), *[moved.get(c, F.col(c)).alias(c) for c in columns])
+    # An old row may stay, be closed, or both: one pass over the table says which.
+    outcomes = F.array_compact(F.array(
+        F.when(~known | (F.col("is_actual") == "0"), kept),
+        F.when(known & (moved["valid_from_dttm"] < moved["valid_to_dttm"]), closing)))
+    old = target.join(bounds, key, "left").select(F.inline(outcomes))
     rest = [F.col(c).desc_nulls_last() for c in columns if c not in (key, "valid_from_dttm")]
-    closed = top_n_by(closed, [key], [start.desc(), *rest], 1)
+    closed = top_n_by(old.where("_closing"), [key], [start.desc(), *rest], 1)
 
     everything = (
         increment.select(*columns)
-        .unionByName(closed)
-        .unionByName(touched.where(F.col("is_actual") == "0").select(*columns))
-        .unionByName(untouched)
+        .unionByName(closed.drop("_closing"))
+        .unionByName(old.where("NOT _closing").drop("_closing"))
     )
     others = [F.col(c).desc_nulls_last() for c in columns
               if c not in (key, "valid_from_dttm", "created_dttm", "updated_dttm")]

@@ -515,9 +515,9 @@ def key_bounds(i: Inputs) -> DataFrame:
 
 @register
 def scd2_merge(i: Inputs) -> DataFrame:
-    merged = history.scd2_merge(
-        i.order_versions(i.order_target()), i.order_versions(i.order_increment()), "o_custkey", moment(MERGE_TIME))
-    return _text_stamps(merged)
+    stored = materialize(i.order_versions(i.order_target()), "versions")
+    fresh = materialize(i.order_versions(i.order_increment()), "new-versions")
+    return _text_stamps(history.scd2_merge(stored, fresh, "o_custkey", moment(MERGE_TIME)))
 
 
 def _loaded_lines(i: Inputs) -> DataFrame:
