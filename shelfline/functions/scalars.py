@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # Layouts tried, in order, when a timestamp arrives as text.
 TIMESTAMP_LAYOUTS = (
@@ -73,5 +75,6 @@ def mean_of(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count.cast("double"))
 
 
-def or_default(value: Column, default: object) -> Column:
-    return F.coalesce(value, F.lit(default))
+def wall_clock(value: dt.datetime, like: DataType) -> Column:
+    """A moment of the session's wall clock as a literal of a column's type."""
+    return F.lit(value.isoformat(sep=" ")).cast(like)

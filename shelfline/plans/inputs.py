@@ -6,8 +6,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfline.functions.scalars import natural_key
+from shelfline.functions.scalars import natural_key, wall_clock
 from shelfline.functions.weeks import week_number
 from shelfline.operators.aggregates import agg_day_store_item
 from shelfline.sources.tables import read_table
@@ -20,7 +21,7 @@ EXCEPTION_WEEKS = (10, 19, 45)
 
 def moment(value: dt.datetime) -> Column:
     """A wall-clock literal, as the driver tables hold them."""
-    return F.lit(value).cast("timestamp_ntz")
+    return wall_clock(value, T.TimestampNTZType())
 
 
 class Inputs:

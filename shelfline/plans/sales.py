@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.functions.scalars import wall_clock
 from shelfline.functions.weeks import week_number
 from shelfline.operators import aggregates as agg
 from shelfline.operators import features as feat
@@ -114,8 +115,8 @@ def refresh_product_history(spark: SparkSession, attributes: DataFrame, families
     """Shred changed product documents and bring them into the history table."""
     history = read_table(spark, history_path)
     versions = shred_products(attributes, families, as_of, days).withColumn(
-        "load_dttm", F.lit(as_of).cast(history.schema["load_dttm"].dataType))
-    stamp = F.lit(as_of).cast(history.schema["updated_dttm"].dataType)
+        "load_dttm", wall_clock(as_of, history.schema["load_dttm"].dataType))
+    stamp = wall_clock(as_of, history.schema["updated_dttm"].dataType)
     replace_table(scd2_merge(history, versions, "item", stamp), history_path)
     return read_table(spark, history_path)
 

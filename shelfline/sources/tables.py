@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.functions.scalars import wall_clock
 from shelfline.session import shared_folder
 
 
@@ -100,4 +101,4 @@ def partition_counts(df: DataFrame, by: str) -> DataFrame:
 
 def recent_rows(df: DataFrame, stamp: str, as_of: dt.datetime, days: int) -> DataFrame:
     """Rows stamped within ``days`` days before ``as_of``, or later."""
-    return df.where(F.col(stamp) >= F.lit(as_of - dt.timedelta(days=days)))
+    return df.where(F.col(stamp) >= wall_clock(as_of - dt.timedelta(days=days), df.schema[stamp].dataType))
