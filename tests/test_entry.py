@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import sys
 from pathlib import Path
 
@@ -23,7 +24,9 @@ def test_flagship_has_rows(spark):
 
 
 def test_all_but_clustering_have_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == {"cluster_items"}
+    """Of the table queries; the text operators have tests of their own."""
+    tables = {name for name in queries() if not re.match(r"op\d+_|pipeline$", name)}
+    assert tables - set(oracle_sql()) == {"cluster_items"}
     assert set(oracle_sql()) <= set(queries())
 
 
