@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import mixing, sharding
+from shelfline.llm import fingerprints, licenses, mixing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,7 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op4_fingerprints": fingerprints.op4_fingerprints,
         "op6_sharding": sharding.op6_sharding,
+        "op8_licenses": licenses.op8_licenses,
     }
 
 
