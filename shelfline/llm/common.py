@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,13 +92,24 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.concat_tables(held)
 
 
-def in_block_pairs(members: DataFrame, key: str, node: str, size: str, block: int) -> DataFrame:
-    """Copies of the members of large groups, so that any two meet in one (key, left_, right_).
+def in_block_pairs(members: DataFrame, node: str, blocks: Column) -> DataFrame:
+    """Copies of the members of large groups, so that any two meet under one (left_, right_).
 
-    A group of up to ``block`` members stays whole; a larger one is cut into blocks
-    by a hash of the node, and each pair of blocks is a task's worth of its own.
+    A group of one block stays whole; a larger one is cut into ``blocks`` by a hash of
+    the node, and each pair of blocks is a task's worth of its own.
     """
-    blocks = F.ceil(F.col(size) / F.lit(block)).cast("int")
+    blocks = F.greatest(blocks.cast("int"), F.lit(1))
     own = F.pmod(F.xxhash64(node), blocks).cast("int")
     return members.withColumn("own_", own).withColumn("other_", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         *members.columns, "own_", F.least("own_", "other_").alias("left_"), F.greatest("own_", "other_").alias("right_"))
+
+
+def forest(linked: np.ndarray) -> np.ndarray:
+    """Of a symmetric matrix of links, each row's smallest row reachable."""
+    label = np.arange(len(linked))
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], len(label)).min(axis=1))
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least

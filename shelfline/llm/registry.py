@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import fingerprints, licenses, mixing, sharding
+from shelfline.llm import embeddings, fingerprints, licenses, lines, mixing, neardups, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,9 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op2_embeddings": embeddings.op2_embeddings,
+        "op3_lines": lines.op3_lines,
         "op4_fingerprints": fingerprints.op4_fingerprints,
         "op6_sharding": sharding.op6_sharding,
         "op8_licenses": licenses.op8_licenses,
+        "op10_minhash": neardups.op10_minhash,
     }
 
 

@@ -33,6 +33,14 @@ def is_space() -> np.ndarray:
     return flags
 
 
+def is_no_letter() -> np.ndarray:
+    """Bytes outside 0-9, A-Z, a-z and the parts of non-ASCII characters."""
+    flags = np.ones(256, bool)
+    for first, last in ((48, 57), (65, 90), (97, 122), (128, 255)):
+        flags[first:last + 1] = False
+    return flags
+
+
 class WordHasher:
     """64-bit hashes of the words (runs of non-space bytes) of texts, A-Z lower-cased.
 
@@ -40,8 +48,9 @@ class WordHasher:
     one running sum over the block; blocks of a long text end at white space.
     """
 
-    def __init__(self) -> None:
-        self.codes, self.space = byte_codes(), is_space()
+    def __init__(self, space: np.ndarray | None = None, prefixes: tuple[int, ...] = ()) -> None:
+        """``prefixes``: also hash the first so many bytes of longer words."""
+        self.codes, self.space, self.prefixes = byte_codes(), is_space() if space is None else space, prefixes
         self.powers = np.cumprod(np.full(1024, GOLDEN | np.uint64(1), np.uint64))
 
     def block(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +68,16 @@ class WordHasher:
         within = np.arange(len(data)) - np.repeat(bounds, np.diff(np.append(bounds, len(data))))
         terms = self.codes[data] * self.powers[np.minimum(within, len(self.powers) - 1)]
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms)))
-        return mixed((sums[ends] - sums[starts]) ^ (lengths.astype(np.uint64) * GOLDEN)), starts
+        hashes, places = [mixed((sums[ends] - sums[starts]) ^ (lengths.astype(np.uint64) * GOLDEN))], [starts]
+        for size in self.prefixes:
+            longer = starts[lengths > size]
+            hashes.append(mixed((sums[longer + size] - sums[longer]) ^ (np.uint64(size << 32) * GOLDEN)))
+            places.append(longer)
+        if not self.prefixes:
+            return hashes[0], starts
+        hashes, places = np.concatenate(hashes), np.concatenate(places)
+        order = np.argsort(places, kind="stable")
+        return hashes[order], places[order]
 
     def of_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The word hashes of each text, in order; null is an empty text."""
