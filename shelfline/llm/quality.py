@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import table
 from shelfline.llm.samples import fold, labelled_sample
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 12_000
 FOLDS, HELD_OUT = 4, 2
 GOOD = 0.7
@@ -34,7 +34,7 @@ STEP = 8
 WIDTH = 8
 FILTERS = 32
 PIECE = 1 << 20
-EPOCHS = 10
+EPOCHS = 8
 BATCH = 50
 
 

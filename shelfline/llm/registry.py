@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import embeddings, fingerprints, licenses, lines, mixing, neardups, sharding
+from shelfline.llm import embeddings, fingerprints, licenses, lines, mixing, neardups, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,8 +17,10 @@ def llm_queries() -> dict[str, Query]:
         "op2_embeddings": embeddings.op2_embeddings,
         "op3_lines": lines.op3_lines,
         "op4_fingerprints": fingerprints.op4_fingerprints,
+        "op5_quality": quality.op5_quality,
         "op6_sharding": sharding.op6_sharding,
         "op8_licenses": licenses.op8_licenses,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_minhash": neardups.op10_minhash,
     }
 

@@ -71,7 +71,7 @@ class WordHasher:
         hashes, places = [mixed((sums[ends] - sums[starts]) ^ (lengths.astype(np.uint64) * GOLDEN))], [starts]
         for size in self.prefixes:
             longer = starts[lengths > size]
-            hashes.append(mixed((sums[longer + size] - sums[longer]) ^ (np.uint64(size << 32) * GOLDEN)))
+            hashes.append(mixed((sums[longer + size] - sums[longer]) ^ mixed(np.array([size], np.uint64))))
             places.append(longer)
         if not self.prefixes:
             return hashes[0], starts
