@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import embeddings, fingerprints, licenses, lines, mixing, neardups, quality, sharding, toxicity
+from shelfline.llm import embeddings, fingerprints, licenses, lines, mixing, neardups, pieces, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_fingerprints": fingerprints.op4_fingerprints,
         "op5_quality": quality.op5_quality,
         "op6_sharding": sharding.op6_sharding,
+        "op7_pieces": pieces.op7_pieces,
         "op8_licenses": licenses.op8_licenses,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_minhash": neardups.op10_minhash,
