@@ -12,9 +12,9 @@ from pyspark.sql.types import DataType
 
 # Layouts tried, in order, when a timestamp arrives as text.
 TIMESTAMP_LAYOUTS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
     "yyyy-MM-dd",
     "dd.MM.yyyy HH:mm:ss",
     "dd.MM.yyyy",
@@ -39,19 +39,23 @@ def valid_price(price: Column) -> Column:
 
 def unsigned_or_null(text: Column, bits: int) -> Column:
     """Text as an unsigned integer of ``bits`` bits; NULL if it is not one."""
-    number = F.when(text.rlike("^[0-9]{1,10}$"), text).try_cast("bigint")
+    number = F.when(text.rlike("^[0-9]+$"), text).try_cast("bigint")
     return F.when(number <= 2**bits - 1, number).cast(UNSIGNED_TYPES[bits])
 
 
 def int_or_zero(text: Column) -> Column:
     """Text as a 32-bit integer; 0 if it is not one."""
-    number = F.when(text.rlike("^-?[0-9]{1,10}$"), text).try_cast("int")
+    number = F.when(text.rlike("^-?[0-9]+$"), text).try_cast("int")
     return F.coalesce(number, F.lit(0))
 
 
 def parse_timestamp(text: Column, layouts: Iterable[str] = TIMESTAMP_LAYOUTS) -> Column:
-    """Text as a timestamp by the first layout that fits; NULL if none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in layouts])
+    """Text as a timestamp by the first layout that fits; NULL if none does.
+
+    Nine or ten digits are seconds since 1970.
+    """
+    seconds = F.when(text.rlike("^[0-9]{9,10}$"), text).try_cast("bigint")
+    return F.coalesce(F.timestamp_seconds(seconds), *[F.try_to_timestamp(text, F.lit(layout)) for layout in layouts])
 
 
 def natural_key(*parts: Column) -> Column:

@@ -83,7 +83,7 @@ def cap_quantities(tickets: DataFrame, caps: DataFrame) -> DataFrame:
 
 def agg_day_store_item(tickets: DataFrame, stores: list[int] | None = None,
                        split_by_raw_qty: bool = False) -> DataFrame:
-    """Sales of a day, store and item with the rounded price paid per piece.
+    """Sales of a day, store and item with the price paid per piece, halves rounded to even.
 
     Items whose number starts with 49 are deliveries and left out. With
     ``split_by_raw_qty`` lines of different raw quantity stay separate rows.
@@ -98,7 +98,7 @@ def agg_day_store_item(tickets: DataFrame, stores: list[int] | None = None,
         F.sum("item_qty_processed").alias("item_qty"),
         F.sum("item_qty_raw").alias("raw_qty"),
     )
-    price = F.round(mean_of(F.col("total_cost"), F.col("raw_qty")))
+    price = F.bround(mean_of(F.col("total_cost"), F.col("raw_qty")))
     return per_day.select(*keys, "tickets_qty", "total_cost", "item_qty", price.alias("purchase_price"))
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +30,9 @@ def pivot_weeks(weekly: DataFrame, value: str, index: str = "week_num",
     return wide.select("item", *[F.coalesce(F.col(str(w)), F.lit(0.0)).alias(f"w{w}") for w in weeks])
 
 
-def cluster_items(weekly: DataFrame, value: str, index: str = "week_num", k: int = CLUSTERS,
-                  starts: int = STARTS, iterations: int = ITERATIONS, tol: float = TOLERANCE,
-                  seed: int = SEED) -> DataFrame:
-    """Item and cluster label from the best of several k-means runs.
+def _best_model(weekly: DataFrame, value: str, index: str, k: int, starts: int, iterations: int, tol: float,
+                seed: int) -> tuple[KMeansModel, DataFrame]:
+    """The run with the least cost, and the vectors.
 
     The vectors are written to the checkpoint folder once: every run and the
     labelling read them from there instead of repeating the pivot.
@@ -42,5 +42,31 @@ def cluster_items(weekly: DataFrame, value: str, index: str = "week_num", k: int
     shared_folder(weekly.sparkSession)
     vectors = vectors.select("item", "features").checkpoint()
     runs = (KMeans(k=k, maxIter=iterations, tol=tol, seed=seed + start).fit(vectors) for start in range(starts))
-    best = min(runs, key=lambda model: model.summary.trainingCost)
+    return min(runs, key=lambda model: model.summary.trainingCost), vectors
+
+
+def cluster_items(weekly: DataFrame, value: str, index: str = "week_num", k: int = CLUSTERS,
+                  starts: int = STARTS, iterations: int = ITERATIONS, tol: float = TOLERANCE,
+                  seed: int = SEED) -> DataFrame:
+    """Item and cluster label from the best of several k-means runs."""
+    best, vectors = _best_model(weekly, value, index, k, starts, iterations, tol, seed)
     return best.transform(vectors).select("item", F.col("prediction").alias("label"))
+
+
+def cluster_check(weekly: DataFrame, value: str, index: str = "week_num", k: int = CLUSTERS,
+                  starts: int = STARTS, iterations: int = ITERATIONS, tol: float = TOLERANCE,
+                  seed: int = SEED) -> DataFrame:
+    """Per item: whether its label is in range, and whether no centre is nearer than its own.
+
+    The centres, k rows of one value per calendar week, are literals.
+    """
+    best, vectors = _best_model(weekly, value, index, k, starts, iterations, tol, seed)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in best.clusterCenters()])
+    distances = F.transform(centres, lambda c: F.aggregate(
+        F.zip_with(c, F.col("place"), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    found = best.transform(vectors).select(
+        "item", F.col("prediction").alias("label"), vector_to_array("features").alias("place")).select(
+        "item", "label", distances.alias("distances"))
+    return found.select(
+        "item", ((F.col("label") >= 0) & (F.col("label") < k)).alias("in_range"),
+        (F.get("distances", F.col("label")) <= F.array_min("distances") * (1 + 1e-9) + 1e-9).alias("nearest"))

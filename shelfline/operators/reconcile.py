@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.sources.tables import partition_counts
 
@@ -31,8 +32,10 @@ def reconcile_partitions(raw: DataFrame, ods: DataFrame, part: str,
                          group_keys: list[str] | None = None) -> DataFrame:
     """Aggregated raw rows of all partitions to reload, ready to replace them.
 
-    ``part`` is a day, so the list of partitions has at most one row per day of
-    the calendar and is broadcast.
+    If ``part`` is a date, the list of partitions has at most one row per day of
+    the calendar and is broadcast; for other types Spark decides by its size.
     """
     days = partitions_to_reload(raw, ods, part, group_keys).select(part)
-    return aggregate(raw.join(F.broadcast(days), part, "left_semi"))
+    if isinstance(raw.schema[part].dataType, T.DateType):
+        days = F.broadcast(days)
+    return aggregate(raw.join(days, part, "left_semi"))

@@ -86,7 +86,7 @@ class Inputs:
             F.lit("12:00").alias("ticket_time"),
             F.col("l_returnflag").alias("transaction_type"),
             F.col("l_partkey").alias("item"),
-            F.round(F.col("l_extendedprice") / F.col("l_quantity")).alias("purchase_price"),
+            F.bround(F.col("l_extendedprice") / F.col("l_quantity")).alias("purchase_price"),
             F.col("l_extendedprice").alias("total_cost"),
             (F.col("l_extendedprice") * (1 - F.col("l_tax"))).alias("total_cost_wo_tax"),
             F.col("l_quantity").alias("item_qty"),

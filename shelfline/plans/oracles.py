@@ -36,7 +36,7 @@ PARTS: dict[str, str] = {
         FROM lineitem""",
     "daily": """
         SELECT sell_date, store, item, count(*) AS tickets_qty, sum(total_cost) AS total_cost,
-               sum(item_qty) AS item_qty, round(sum(total_cost) / nullif(sum(item_qty), 0)) AS purchase_price
+               sum(item_qty) AS item_qty, round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
         FROM tickets WHERE CAST(item AS VARCHAR) NOT LIKE '49%' GROUP BY ALL""",
     "o": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
     "orders_new": "SELECT * FROM o WHERE o_orderdate >= DATE '2000-01-01'",
@@ -109,7 +109,7 @@ PARTS: dict[str, str] = {
                avg(CASE WHEN s.item IS NULL THEN NULL WHEN top = 0 THEN 0 ELSE week_item_qty / top END)
                    AS avg_item_qty_scaled_with_stock
         FROM store_weeks t JOIN tops USING (store, item)
-        LEFT JOIN (SELECT * FROM stock WHERE is_zero_qty_week = 0) s
+        LEFT JOIN stock s
                ON s.week_num = t.week_num AND s.store = t.store AND s.item = t.item
         GROUP BY ALL""",
     "item_sums": """
@@ -166,7 +166,7 @@ PARTS: dict[str, str] = {
         SELECT CAST(l_suppkey % 10 AS INTEGER) AS store, CAST(l_suppkey % 4 AS INTEGER) AS checkout_number,
                l_orderkey AS ticket_number, CAST(l_shipdate AS DATE) AS sell_date, '12:00' AS ticket_time,
                l_returnflag AS transaction_type, l_partkey AS item,
-               round(l_extendedprice / l_quantity) AS purchase_price, l_extendedprice AS total_cost,
+               round_even(l_extendedprice / l_quantity, 0) AS purchase_price, l_extendedprice AS total_cost,
                l_extendedprice * (1 - l_tax) AS total_cost_wo_tax, l_quantity AS item_qty,
                l_extendedprice * l_discount AS total_margin, '0' AS num_acp, l_linestatus AS num_cde,
                l_shipdate AS created_dttm, l_shipdate + to_seconds(l_linenumber) AS load_dttm
@@ -368,7 +368,13 @@ ORACLES: dict[str, str] = {
     "incremental_dump_slice": """
         SELECT o_orderkey, o_custkey, o_orderdate, count(*) OVER () AS rows_written
         FROM o WHERE o_orderdate > DATE '1998-01-01' AND o_orderdate <= DATE '1999-06-30'""",
-    "export_projection": f"SELECT event_id, {stamp('ts')}, user_id, {r('value')} FROM events",
+    "export_projection": f"SELECT event_id, {stamp('ts')}, user_id, event_type, {r('value')}, props FROM events",
+    "range_replace_roundtrip": """
+        SELECT CAST(year(sell_date) AS INTEGER) AS year, store, online, count(*) AS tickets,
+               round(sum(item_qty), 6) AS item_qty
+        FROM tickets
+        WHERE NOT (year(sell_date) BETWEEN 1997 AND 1999) OR (online AND year(sell_date) <> 1998)
+        GROUP BY ALL""",
     "export_schema_cast": "SELECT p_partkey, p_name AS p_name, CAST(p_size AS INTEGER) AS p_size FROM part",
     "filter_stores": f"SELECT store, item, sell_date, item_qty FROM tickets WHERE store IN {STORE_LIST}",
     "filter_not_like": """
@@ -393,7 +399,8 @@ ORACLES: dict[str, str] = {
                CAST(if(p_partkey * 97 <= 65535, p_partkey * 97, NULL) AS INTEGER) AS as_u16,
                TRY_CAST(TRY_CAST('42949672' || split_part(p_brand, '#', 2) AS UINTEGER) AS BIGINT) AS as_u32,
                CAST(NULL AS BIGINT) AS not_a_number,
-               CAST(split_part(p_brand, '#', 2) AS INTEGER) AS int_or_zero, 0 AS zero
+               CAST(split_part(p_brand, '#', 2) AS INTEGER) AS int_or_zero, 0 AS zero,
+               CAST(p_partkey AS INTEGER) AS padded, p_partkey AS padded_u32
         FROM part""",
     "scalar_dates": f"""
         SELECT o_orderkey, if(o_orderpriority = '5-LOW', NULL, o_orderdate) AS parsed,
@@ -439,11 +446,11 @@ ORACLES: dict[str, str] = {
         WHERE o_custkey NOT IN (SELECT o_custkey FROM orders_new)""",
     "asof_past": """
         SELECT a.sell_date, a.store, a.item, b.purchase_price AS price_past
-        FROM priced a ASOF LEFT JOIN priced b ON a.store = b.store AND a.item = b.item AND a.sell_date > b.sell_date""",
+        FROM daily a ASOF LEFT JOIN priced b ON a.store = b.store AND a.item = b.item AND a.sell_date > b.sell_date""",
     "asof_future": """
         SELECT a.sell_date, a.store, a.item, b.purchase_price AS price_future,
                CAST(date_diff('day', DATE '1970-01-01', b.sell_date) AS INTEGER) AS day_future
-        FROM priced a ASOF LEFT JOIN priced_items b ON a.item = b.item AND a.sell_date < b.sell_date""",
+        FROM daily a ASOF LEFT JOIN priced_items b ON a.item = b.item AND a.sell_date < b.sell_date""",
     "asof_inclusive": f"""
         SELECT w.*, p.week_num AS exception_before, n.week_num AS exception_after
         FROM (SELECT {week_cols('sell_date')}, item, sum(item_qty) AS item_qty FROM daily GROUP BY ALL) w
@@ -461,17 +468,17 @@ ORACLES: dict[str, str] = {
     "capped_quantities": f"""
         SELECT sell_date, store, item, count(*) AS tickets_qty, round(sum(total_cost), 6) AS total_cost,
                round(sum(least(item_qty, item_qty_max_offline)), 6) AS item_qty,
-               round(sum(total_cost) / nullif(sum(item_qty), 0)) AS purchase_price
+               round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
         FROM tickets LEFT JOIN caps USING (item)
         WHERE CAST(item AS VARCHAR) NOT LIKE '49%' GROUP BY sell_date, store, item""",
     "agg_day_store_item": f"""
         SELECT sell_date, store, item, tickets_qty, {r('total_cost', 'item_qty', 'purchase_price')} FROM daily""",
     "agg_day_store_item_split": f"""
         SELECT sell_date, store, item, count(*) AS tickets_qty, round(sum(total_cost), 6) AS total_cost,
-               sum(least(item_qty, 40)) AS item_qty,
-               round(sum(total_cost) / nullif(sum(item_qty), 0)) AS purchase_price
-        FROM (SELECT *, item_qty AS raw FROM tickets)
-        WHERE store IN {STORE_LIST} AND CAST(item AS VARCHAR) NOT LIKE '49%'
+               round(sum(least(item_qty, item_qty_max_offline)), 6) AS item_qty,
+               round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
+        FROM (SELECT *, item_qty AS raw FROM tickets) LEFT JOIN caps USING (item)
+        WHERE CAST(item AS VARCHAR) NOT LIKE '49%'
         GROUP BY sell_date, store, item, raw""",
     "first_sale_date": "SELECT * FROM first_sale",
     "agg_week_store_item": f"""
@@ -591,6 +598,7 @@ ORACLES: dict[str, str] = {
                    WHERE doc <> '[]') f USING (p_partkey)
         WHERE greatest(sa, sf) >= TIMESTAMP '2024-02-20' - INTERVAL 30 DAY""",
     "item_attr": "SELECT * FROM attrs",
+    "cluster_items": "SELECT DISTINCT user_id AS item, true AS in_range, true AS nearest FROM events",
     "pivot_week_item": "SELECT user_id AS item, " + ", ".join(
         f"round(coalesce(sum(value) FILTER ({week('CAST(ts AS DATE)')} = {w}), 0), 6) AS w{w}" for w in WEEK_NAMES
     ) + " FROM events GROUP BY user_id",

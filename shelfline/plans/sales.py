@@ -19,7 +19,7 @@ from shelfline.operators.products import shred_products
 from shelfline.operators.reconcile import reconcile_partitions
 from shelfline.plans.merges import MERGES, merge_table
 from shelfline.session import materialize
-from shelfline.sources.tables import current_view, read_table, replace_partitions, replace_table
+from shelfline.sources.tables import current_view, read_table, replace_partitions, replace_range, replace_table
 
 # Weeks rebuilt on every run, by generation of the marts, and days reloaded daily.
 BASIC_REBUILD_WEEKS = 12
@@ -127,11 +127,12 @@ def refresh_days(spark: SparkSession, tickets: DataFrame, first_sale: DataFrame,
 
     Prices of the calendar come from all days on record, before and after.
     """
-    first, last = F.lit(today - dt.timedelta(days=days)), F.lit(today)
+    oldest = today - dt.timedelta(days=days)
+    first, last = F.lit(oldest), F.lit(today)
     fresh = agg.agg_day_store_item(tickets.where(F.col("sell_date").between(first, last)))
-    replace_partitions(fresh, daily_path, ["sell_date"])
+    replace_range(fresh, daily_path, "sell_date", oldest, today)
     dense = densify_prices(read_table(spark, daily_path), first, last, first_sale)
-    replace_partitions(dense, calendar_path, ["sell_date"])
+    replace_range(dense, calendar_path, "sell_date", oldest, today)
     return read_table(spark, calendar_path)
 
 
@@ -148,14 +149,15 @@ def refresh_basic_marts(spark: SparkSession, daily: DataFrame, first_sale: DataF
         "min_week": F.col("min_week") - SMOOTHING, "max_week": F.col("max_week") + SMOOTHING})
     weekly = basic_weekly(rebuild_daily(daily, wider, first_sale))
     rebuilt = agg.weeks_to_rebuild(weekly, F.col("week_num"), bounds)
-    replace_partitions(rebuilt.select(*kept.columns), weekly_path, ["week_num"])
+    first_week, last_week = bounds.select("min_week", "max_week").first()
+    replace_range(rebuilt.select(*kept.columns), weekly_path, "week_num", first_week, last_week)
 
     reach = feat.BASIC_REACH
     oldest = F.col("min_week") - reach.right
     needed = oldest - 2 * YEAR_WEEKS - reach.year_left
     drawn_on = read_table(spark, weekly_path).where(F.col("week_num") >= bounds.select(needed).scalar())
     features = basic_features_by_item(drawn_on).where(F.col("week_num") >= bounds.select(oldest).scalar())
-    replace_partitions(features, features_path, ["week_num"])
+    replace_range(features, features_path, "week_num", first_week - reach.right)
     return read_table(spark, features_path)
 
 
@@ -174,9 +176,10 @@ def refresh_stock_marts(spark: SparkSession, stock: DataFrame, daily: DataFrame,
     path = marts.path("stock_by_store")
     bounds = materialize(agg.load_bounds(read_table(spark, path, ["week_num"]), daily, back), "bounds")
     newest = agg.weeks_to_rebuild(stock, week_number(F.to_date("snapshot")), bounds)
-    replace_partitions(agg.agg_stock_by_store(newest), path, ["week_num"])
+    first_week, last_week = bounds.select("min_week", "max_week").first()
+    replace_range(agg.agg_stock_by_store(newest), path, "week_num", first_week, last_week)
     by_week = agg.agg_stock_by_week(agg.weeks_to_rebuild(read_table(spark, path), F.col("week_num"), bounds))
-    replace_partitions(by_week, marts.path("stock_by_week"), ["week_num"])
+    replace_range(by_week, marts.path("stock_by_week"), "week_num", first_week, last_week)
     return read_table(spark, path)
 
 
@@ -184,7 +187,7 @@ def build_extended_marts(spark: SparkSession, daily: DataFrame, item_dates: Data
                          stock_by_store: DataFrame, exceptions: DataFrame, marts: ExtendedMarts) -> None:
     """Build the ticket marts and masked features anew, each written once and read back."""
     def write(df: DataFrame, name: str) -> DataFrame:
-        replace_partitions(df, marts.path(name), ["week_num"])
+        replace_table(df, marts.path(name), ["week_num"])
         return read_table(spark, marts.path(name), df.columns)
 
     tickets = write(hier.agg_tickets_by_store(daily, item_dates, attributes), "tickets_by_store")

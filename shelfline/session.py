@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables written between jobs, by application; `clear_scratch` deletes them.
+_written: dict[str, list[str]] = {}
+
 
 def build_session(app: str = "shelfline", **conf: str) -> SparkSession:
     """Session with adaptive execution, UTC dates and partition-wise overwrite.
@@ -35,21 +38,31 @@ def build_session(app: str = "shelfline", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    Only where none is configured (tests, local runs) a temporary one is set.
+    Only a local master, whose driver and executors are one process, may go
+    without one and gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="run-")
+        folder = fallback_folder(spark.sparkContext.master)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def fallback_folder(master: str) -> str:
+    """A temporary folder for a local master; any other needs spark.checkpoint.dir."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused table path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -57,3 +70,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The storage that holds a path, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    files, place = file_system(spark, path)
+    files.delete(place, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables written between jobs, once the results drawn from them are stored."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)

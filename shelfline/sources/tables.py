@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.scalars import wall_clock
-from shelfline.session import shared_folder
+from shelfline.session import file_system, remove_path
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
@@ -24,14 +25,29 @@ def append_table(df: DataFrame, path: str, columns: list[str] | None = None) ->
     (df.select(*columns) if columns else df).write.mode("append").parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
+def replace_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     """Replace all rows of a table, also when ``df`` was computed from it.
 
-    The rows are first written to the shared checkpoint folder: the overwrite
-    then no longer depends on the files it removes, nor on a lost executor.
+    The rows are written once, next to the table, which stays as it is until they
+    are complete; then the two folders change places. ``by`` lays the table out in
+    partitions, of which none of the old ones is left.
     """
-    shared_folder(df.sparkSession)
-    df.checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    spark, staged, old = df.sparkSession, f"{path}-new-{uuid.uuid4().hex}", f"{path}-old-{uuid.uuid4().hex}"
+    writer = (df.hint("rebalance", *by).write.partitionBy(*by) if by else df.write)
+    try:
+        writer.parquet(staged)
+    except Exception:
+        remove_path(spark, staged)
+        raise
+    files, place = file_system(spark, path)
+    had_rows = files.exists(place)
+    if had_rows:
+        files.rename(place, file_system(spark, old)[1])
+    if not files.rename(file_system(spark, staged)[1], place):
+        raise OSError(f"{staged} holds the new rows of {path}, but could not take its place")
+    if had_rows:
+        remove_path(spark, old)
+    spark.catalog.refreshByPath(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -44,6 +60,35 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
+def replace_range(df: DataFrame, path: str, by: str, first: object, last: object = None) -> None:
+    """Replace the partitions from ``first`` to ``last`` (open if None) by the rows of ``df``.
+
+    Partitions of the range that get no rows are deleted; those outside it stay.
+    The folders looked at are at most one per day or week of the range.
+    """
+    spark, kind = df.sparkSession, df.schema[by].dataType
+    files, place = file_system(spark, path)
+
+    def stored() -> dict[str, set[str]]:
+        """Files of the range's partitions; every write gives its files new names."""
+        found = {}
+        for status in files.listStatus(place) if files.exists(place) else []:
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(f"{by}="):
+                text = name.removeprefix(f"{by}=")
+                value = dt.date.fromisoformat(text) if isinstance(kind, T.DateType) else int(text)
+                if value >= first and (last is None or value <= last):
+                    found[name] = {f.getPath().getName() for f in files.listStatus(status.getPath())}
+        return found
+
+    before = stored()
+    replace_partitions(df, path, [by])
+    for name, held in stored().items():
+        if held == before.get(name):
+            remove_path(spark, f"{path}/{name}")
+    spark.catalog.refreshByPath(path)
+
+
 def current_view(df: DataFrame, columns: list[str], is_act: str | None = None) -> DataFrame:
     """Column view of a table, limited to current versions if it has a flag."""
     rows = df.where(F.col(is_act) == "1") if is_act else df

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from shelfline import session
 from shelfline.operators import aggregates as agg
 from shelfline.operators.reconcile import partitions_to_reload, reconcile_partitions
 from shelfline.sources import tables
@@ -28,6 +31,43 @@ def test_replacing_partitions_leaves_the_others(spark, tmp_path):
     assert untouched == {f.name: f.read_bytes() for f in (tmp_path / "t" / "p=1").glob("*.parquet")}
 
 
+def test_partitions_that_vanish_from_a_rebuilt_range_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.createDataFrame([(n, "a") for n in range(1, 6)], "p int, v string"), path, ["p"])
+    tables.replace_range(spark.createDataFrame([(2, "b"), (4, "b")], "p int, v string"), path, "p", 2, 4)
+    assert rows(tables.read_table(spark, path, ["p", "v"])) == [(1, "a"), (2, "b"), (4, "b"), (5, "a")]
+    tables.replace_range(spark.createDataFrame([], "p int, v string"), path, "p", 4)
+    assert rows(tables.read_table(spark, path, ["p", "v"])) == [(1, "a"), (2, "b")]
+    tables.replace_table(spark.createDataFrame([(2, "c")], "p int, v string"), path, ["p"])
+    assert rows(tables.read_table(spark, path, ["p", "v"])) == [(2, "c")]
+
+
+def test_days_that_vanish_go(spark, tmp_path):
+    path, day = str(tmp_path / "t"), lambda n: dt.date(2024, 1, n)
+    tables.replace_table(spark.createDataFrame([(day(n), n) for n in (1, 2, 3)], "d date, v int"), path, ["d"])
+    tables.replace_range(spark.createDataFrame([(day(3), 9)], "d date, v int"), path, "d", day(2), day(3))
+    assert rows(tables.read_table(spark, path, ["d", "v"])) == [(day(1), 1), (day(3), 9)]
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(3), path)
+    with pytest.raises(Exception, match="fails on purpose"):
+        tables.replace_table(spark.range(9).select(F.raise_error(F.lit("fails on purpose")).cast("long").alias("id")), path)
+    assert tables.read_table(spark, path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_scratch_tables_are_deleted_and_a_cluster_needs_a_folder(spark):
+    table = session.materialize(spark.range(4), "short-lived")
+    folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists() and session.clear_scratch(spark) >= 1 and not folder.exists()
+    assert session.fallback_folder("local[4]") and session.fallback_folder("local")
+    for master in ("local-cluster[2,1,1024]", "yarn", "k8s://host"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.fallback_folder(master)
+
+
 def test_incremental_dump_counts_and_formats(spark, tmp_path):
     df = spark.createDataFrame([(n, dt.datetime(2024, 1, n)) for n in range(1, 10)], "n int, at timestamp")
     for fmt, codec in (("parquet", "zstd"), ("json", "gzip"), ("csv", "none")):
