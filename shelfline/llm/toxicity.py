@@ -172,7 +172,7 @@ def marked_posterior(model: LabelModel, masks: np.ndarray, goal: np.ndarray) ->
 
 def strongest_tree(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Parents in the spanning tree of greatest mutual information between voters."""
-    total = weight.sum()
+    total = max(weight.sum(), 1e-12)
     one = (weight[:, None] * votes).sum(0) / total
     both = (votes * weight[:, None]).T @ votes / total
     gain = np.zeros((VOTERS, VOTERS))
@@ -213,7 +213,7 @@ def fit_label_model(masks: np.ndarray, counts: np.ndarray, seen: np.ndarray, see
             parents[y] = strongest_tree(votes, weight)
             for v in range(VOTERS):
                 given = votes[:, parents[y, v]] if parents[y, v] >= 0 else np.zeros(len(votes), int)
-                whole = (weight * votes[:, v]).sum() / weight.sum()
+                whole = (weight * votes[:, v]).sum() / max(weight.sum(), 1e-12)
                 for k in range(2):
                     here = weight * (given == k)
                     chances[y, v, k] = np.clip(((here * votes[:, v]).sum() + smooth * whole) / (here.sum() + smooth), 1e-3, 0.98)
