@@ -54,29 +54,61 @@ def year_offsets(left: int, right: int) -> list[tuple[str, int]]:
     return [("y", 0), *back, *[(f"next_yw{i}", i) for i in range(1, right + 1)]]
 
 
-def _over(function: str, keys: list[str], time: str, first: int, last: int) -> str:
-    """SQL text of an aggregate over the weeks between two distances.
+def _timelines(weekly: DataFrame, keys: list[str], measures: list[Measure], extra: list[str]) -> DataFrame:
+    """Per key its weekly rows in order (``_rows``) and one entry per week from the first to the last (``_line``).
 
-    Text keeps building a few hundred columns cheap on the driver.
+    A key has at most one row per calendar week, which bounds both arrays. Weeks
+    without a row are null entries, so a week's entry is found by its distance
+    from the first week.
     """
-    def edge(distance: int) -> str:
-        return f"{abs(distance)} {'FOLLOWING' if distance > 0 else 'PRECEDING'}" if distance else "CURRENT ROW"
+    taken = ["week_num", "year", "week", *extra, *[m.column for m in measures]]
+    grouped = weekly.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys(taken)))).alias("_rows"))
+    gap = "array_repeat(nullif(e, e), coalesce(get(_rows, i + 1).week_num - e.week_num - 1, 0))"
+    return grouped.selectExpr(
+        *keys, "_rows", "_rows[0].week_num AS _first", f"flatten(transform(_rows, (e, i) -> concat(array(e), {gap}))) AS _line")
 
-    return (f"{function} OVER (PARTITION BY {', '.join(keys)} ORDER BY {time} "
-            f"RANGE BETWEEN {edge(first)} AND {edge(last)})")
+
+def _features(weekly: DataFrame, calendar: DataFrame | None, keys: list[str], measures: list[Measure],
+              week_distances: list[tuple[str, int]], year_distances: list[tuple[str, int]]) -> DataFrame:
+    """Rows with looked-up measures of other weeks; ``_found`` tells of entries around last year's week.
+
+    One shuffle by key: every distance is an element of the key's own timeline,
+    so neither windows over the weeks nor a join of wide rows is needed. SQL text
+    keeps building a few hundred columns cheap on the driver.
+    """
+    rows = weekly
+    if calendar is not None:
+        # One row per week of the calendar.
+        rows = weekly.join(F.broadcast(calendar.select("week_num", "prev_week_num")), "week_num", "left")
+    lines = _timelines(rows, keys, measures, [] if calendar is None else ["prev_week_num"])
+    fields = [f"e.{c} AS {c}" for c in dict.fromkeys([*WEEK_KEYS, *[m.column for m in measures]])]
+    fields += [f"get(_line, e.week_num - _first + {d}).{m.column} AS {m.week}_{x}" for x, d in week_distances for m in measures]
+    if year_distances:
+        at = "e.prev_week_num - _first"
+        fields += [f"get(_line, {at} + {d}).{m.column} AS {m.year}_{x}" for x, d in year_distances for m in measures]
+        fields.append("coalesce(" + " OR ".join(
+            f"get(_line, {at} + {d}) IS NOT NULL" for _, d in year_distances) + ", false) AS _found")
+    return lines.selectExpr(*keys, f"inline(transform(_rows, e -> struct({', '.join(fields)})))")
+
+
+def _feature_names(measures: list[Measure], offsets: list[tuple[str, int]], yearly: bool) -> list[str]:
+    return [f"{m.year if yearly else m.week}_{x}" for x, _ in offsets for m in measures]
 
 
 def offset_features(weekly: DataFrame, keys: list[str], measures: list[Measure], reach: Reach) -> DataFrame:
-    """Every measure of the same key at each week distance within reach.
+    """Every measure of the same key at each week distance within reach."""
+    distances = week_offsets(reach.left, reach.right)
+    return _features(weekly, None, keys, measures, distances, []).select(
+        *WEEK_KEYS, *keys, *[m.column for m in measures], *_feature_names(measures, distances, False))
 
-    All columns come from one window over the key, which has one row per week:
-    one shuffle, one sort.
-    """
-    features = [
-        f"{_over(f'sum({m.column})', keys, 'week_num', distance, distance)} AS {m.week}_{suffix}"
-        for suffix, distance in week_offsets(reach.left, reach.right) for m in measures
-    ]
-    return weekly.selectExpr(*WEEK_KEYS, *keys, *[m.column for m in measures], *features)
+
+def week_and_year_features(weekly: DataFrame, calendar: DataFrame, keys: list[str], measures: list[Measure],
+                           reach: Reach) -> DataFrame:
+    """Same-year and prior-year features of every row, in one pass over each key's weeks."""
+    weeks, years = week_offsets(reach.left, reach.right), year_offsets(reach.year_left, reach.year_right)
+    return _features(weekly, calendar, keys, measures, weeks, years).select(
+        *WEEK_KEYS, *keys, *[m.column for m in measures],
+        *_feature_names(measures, weeks, False), *_feature_names(measures, years, True))
 
 
 def week_calendar(weekly: DataFrame) -> DataFrame:
@@ -97,28 +129,11 @@ def prior_year_features(weekly: DataFrame, calendar: DataFrame, keys: list[str],
                         measures: list[Measure], reach: Reach) -> DataFrame:
     """Every measure of the same key around the matching week of the year before.
 
-    Each row enters twice on one time line: with its values at its own week and,
-    asking for values, at last year's matching week. One window over the key
-    then answers all distances, with no join of weeks against weeks. Keys with
-    nothing in reach a year before are left out.
+    Rows with nothing in reach a year before are left out.
     """
-    names = [m.column for m in measures]
-    # One row per week of the calendar.
-    matches = F.broadcast(calendar.select("week_num", "prev_week_num"))
-    gives = weekly.select(
-        *keys, F.col("week_num").alias("_at"), *[F.lit(None).cast("int").alias(k) for k in WEEK_KEYS],
-        *names, F.lit(1).alias("_given"))
-    asks = weekly.join(matches, "week_num").select(
-        *keys, F.col("prev_week_num").alias("_at"), *WEEK_KEYS,
-        *[F.lit(None).cast(weekly.schema[n].dataType).alias(n) for n in names],
-        F.lit(None).cast("int").alias("_given"))
-    features = [
-        f"{_over(f'sum({m.column})', keys, '_at', distance, distance)} AS {m.year}_{suffix}"
-        for suffix, distance in year_offsets(reach.year_left, reach.year_right) for m in measures
-    ]
-    found = _over("count(_given)", keys, "_at", -reach.year_left, reach.year_right)
-    answered = gives.unionByName(asks).selectExpr(*WEEK_KEYS, *keys, *features, f"{found} AS _found")
-    return answered.where(F.col("week_num").isNotNull() & (F.col("_found") > 0)).drop("_found")
+    distances = year_offsets(reach.year_left, reach.year_right)
+    return _features(weekly, calendar, keys, measures, [], distances).where("_found").select(
+        *WEEK_KEYS, *keys, *_feature_names(measures, distances, True))
 
 
 def combine_features(by_week: DataFrame, by_year: DataFrame, keys: list[str]) -> DataFrame:

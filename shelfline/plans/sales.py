@@ -70,9 +70,8 @@ def basic_features(weekly: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def basic_features_by_item(weekly: DataFrame) -> DataFrame:
     """Item features over all stores."""
-    by_week, by_year = basic_features(weekly)
-    return feat.rollup_over_stores(
-        feat.combine_features(by_week, by_year, ["store", "item"]), feat.BASIC)
+    return feat.rollup_over_stores(feat.week_and_year_features(
+        weekly, feat.week_calendar(weekly), ["store", "item"], feat.BASIC, feat.BASIC_REACH), feat.BASIC)
 
 
 # --------------------------------------------------------------- extended marts
@@ -85,9 +84,7 @@ def level_means(scaled: DataFrame) -> LevelMeans:
 def extended_features(weekly: DataFrame, calendar: DataFrame, exceptions: DataFrame, by_store: bool) -> DataFrame:
     """Masked features of the week and the year before, by item or store and item."""
     keys, measures = (["store", "item"], feat.BY_STORE) if by_store else (["item"], feat.BY_ITEM)
-    combined = feat.combine_features(
-        feat.offset_features(weekly, keys, measures, feat.EXTENDED_REACH),
-        feat.prior_year_features(weekly, calendar, keys, measures, feat.EXTENDED_REACH), keys)
+    combined = feat.week_and_year_features(weekly, calendar, keys, measures, feat.EXTENDED_REACH)
     return feat.mask_exceptions(combined, exceptions, measures, feat.EXTENDED_REACH)
 
 

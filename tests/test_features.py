@@ -107,7 +107,13 @@ def test_rollup_adds_quantities_and_averages_prices(spark):
     assert rows(feat.rollup_over_stores(df, feat.BASIC)) == [(1, 1, 1, 7, 4.0, 4.0, 2.0, None)]
 
 
-def test_week_and_year_windows_take_one_shuffle_each(spark, weekly):
+def test_week_and_year_features_take_one_shuffle_and_no_wide_join(spark, weekly):
     _, df = weekly
-    plan = feat.offset_features(df, ["item"], MEASURES, REACH)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") == 1
+    calendar = spark.createDataFrame([(n, n - 52) for n in range(200)], "week_num int, prev_week_num int")
+    both = feat.week_and_year_features(df, calendar, ["item"], MEASURES, REACH)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan and "Window [" not in plan
+    apart = feat.combine_features(
+        feat.offset_features(df, ["item"], MEASURES, REACH),
+        feat.prior_year_features(df, calendar, ["item"], MEASURES, REACH), ["item"])
+    assert both.columns == apart.columns and rows(both) == rows(apart)
