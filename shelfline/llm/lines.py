@@ -1,138 +1,170 @@
 """Line dedup by winnowing over line hashes.
 
 A text is cut into lines after line breaks and, so that passages inside long lines
-are seen too, after sentence ends. Of every window of two neighbouring lines the one with the least
-hash is a fingerprint: any run of two lines that occurs twice shares one at the same
-place. Each fingerprint is joined with its first occurrence in the corpus and the
-match is extended both ways as far as a window reaches, which is up to the run's next
+are seen too, after words that end a sentence. Lines are equal if their words are,
+A-Z lower-cased. Of every two neighbouring lines the one with the least hash is a
+fingerprint: any run of two lines that occurs twice shares one at the same place.
+Each fingerprint is joined with its first occurrence in the corpus, and the match is
+extended both ways as far as a window reaches, which is up to the run's next
 fingerprint or its end. Runs of matched lines with at least 20 words are deleted
 wherever they occur later; the first occurrence, in the order of (doc_id, text hash,
-line), stays.
+place in the text), stays.
 
 Defined cases: null and empty texts have no lines and stay as they are; blank lines
 belong to the line before and go with it; repeated rows (same doc_id and text) are
 one document and are treated alike; null ids come last; a run that repeats within
 its own document is deleted there too; a text with nothing left becomes empty, and
-``dedupe`` drops such documents; extra columns are carried along; an empty table
-gives an empty result.
+``dedupe`` drops such documents; very long texts are hashed in blocks; extra columns
+are carried along; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import table
+from shelfline.llm.textbytes import BLOCK_BYTES, GOLDEN, SPACES, WordHasher, mixed
+from shelfline.session import materialize
 
-WINDOW = 2
 MIN_WORDS = 20
-ROWS_OUT = 50_000
-LINE_END = re.compile(r"(?<=\n)|(?<=[.!?] )")
+SENTENCE_END = np.array([33, 46, 63], np.uint8)
 LAST = (1 << 63) - 1
-
-
-def lines_of(text: str) -> list[tuple[int, int]]:
-    """Spans of the lines; blank ones belong to the line before."""
-    spans: list[tuple[int, int]] = []
-    start = 0
-    for piece in LINE_END.split(text):
-        end = start + len(piece)
-        if piece and (not spans or not piece.isspace()):
-            spans.append((start, end))
-        elif piece:
-            spans[-1] = (spans[-1][0], end)
-        start = end
-    return spans
-
-
-def fingerprints(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the least hash of each window, the last of equal ones."""
-    if len(hashes) < window:
-        return np.zeros(0, int)
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    return np.unique(np.arange(len(windows)) + window - 1 - windows[:, ::-1].argmin(axis=1))
+POSTS = ("hash long, place long, text_key long, at int, until int, before long, before_at int, after long, after_until int")
+
+
+def words_and_breaks(hasher: WordHasher, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, whether a line starts here) of each word of a text or of joined texts, block by block."""
+    hashes, starts, breaks = [], [], []
+    begin, pending = 0, True
+    while begin < len(data):
+        stop = SPACES.search(data, min(begin + BLOCK_BYTES, len(data)))
+        end = stop.start() if stop else len(data)
+        block = np.frombuffer(data, np.uint8, end - begin, begin)
+        found, start, until = hasher.words(block)
+        newlines = np.concatenate(([0], np.cumsum(block == 10)))
+        if len(found):
+            since = np.concatenate(([0], until[:-1]))
+            fresh = newlines[start] > newlines[since]
+            fresh[1:] |= np.isin(block[until[:-1] - 1], SENTENCE_END)
+            fresh[0] |= pending
+            hashes.append(found)
+            starts.append(start + begin)
+            breaks.append(fresh)
+            pending = bool(newlines[-1] > newlines[until[-1]]) or bool(block[until[-1] - 1] in SENTENCE_END)
+        else:
+            pending |= bool(newlines[-1])
+        begin = end
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, bool)
+    return np.concatenate(hashes), np.concatenate(starts), np.concatenate(breaks)
+
+
+def lines_of(hasher: WordHasher, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash, start, end) of each line; a line ends where the next one or nothing follows."""
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    hashes, starts, breaks = words_and_breaks(hasher, b"\n".join(texts))
+    if not len(hashes):
+        return (np.zeros(0, int),) * 4
+    owner = np.searchsorted(ends, starts, side="right")
+    breaks[1:] |= owner[1:] != owner[:-1]
+    first = np.flatnonzero(breaks)
+    number = np.arange(len(hashes)) - np.repeat(first, np.diff(np.append(first, len(hashes))))
+    line = np.add.reduceat(mixed(hashes + number.astype(np.uint64) * GOLDEN), first)
+    owner, begin = owner[first], starts[first]
+    until = np.append(begin[1:], 0)
+    last = np.append(owner[1:] != owner[:-1], True)
+    until[last] = ends[owner[last]] - 1
+    base = (ends - [len(t) + 1 for t in texts])[owner]
+    return owner, line.view(np.int64), begin - base, until - base
+
+
+def fingerprints(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Positions of the least hash of each two neighbouring lines of a text, the later of equal ones."""
+    pair = np.flatnonzero(owner[1:] == owner[:-1])
+    return np.unique(np.where(hashes[pair + 1] <= hashes[pair], pair + 1, pair))
 
 
 def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, text_key, text) to a row per fingerprint, with the hashes of the lines around it."""
-    reach = WINDOW - 1
+    """(place, text_key, text) to a row per fingerprint, with the lines before and after it."""
+    hasher = WordHasher()
     for batch in batches:
-        places, keys = batch.column("place").to_pylist(), batch.column("text_key").to_pylist()
-        rows: list[tuple] = []
+        places, keys = batch.column("place").to_numpy(), batch.column("text_key").to_numpy()
+        group: list[bytes] = []
+        first = size = 0
         for n, value in enumerate(batch.column("text")):
-            text = value.as_py() or ""
-            hashes = np.array([int.from_bytes(hashlib.blake2b(text[a:b].strip().encode(), digest_size=8).digest(), "little", signed=True)
-                               for a, b in lines_of(text)], np.int64)
-            for k in fingerprints(hashes, WINDOW).tolist():
-                rows.append((int(hashes[k]), places[n], keys[n], k, hashes[max(0, k - reach):k][::-1].tolist(),
-                             hashes[k + 1:k + 1 + reach].tolist()))
-            if len(rows) >= ROWS_OUT:
-                yield posted(rows)
-                rows = []
-        yield posted(rows)
-
-
-def posted(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                      names=["hash", "place", "text_key", "line", "before", "after"])
-
-
-def equal_run(a: Column, b: Column) -> Column:
-    """How many leading elements of two arrays agree."""
-    differs = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
-    return F.when(differs > 0, differs - 1).otherwise(F.size(a)).cast("int")
+            text = value.as_buffer().to_pybytes() if value.is_valid else b""
+            if group and size + len(text) > BLOCK_BYTES:
+                yield posts(hasher, group, places[first:n], keys[first:n])
+                group, first, size = [], n, 0
+            group.append(text)
+            size += len(text)
+        if group:
+            yield posts(hasher, group, places[first:], keys[first:])
+
+
+def posts(hasher: WordHasher, texts: list[bytes], places: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    owner, line, at, until = lines_of(hasher, texts)
+    picked = fingerprints(owner, line)
+    before, after = np.maximum(picked - 1, 0), np.minimum(picked + 1, max(len(line) - 1, 0))
+    no_before = (picked == 0) | (owner[before] != owner[picked])
+    no_after = (picked == after) | (owner[after] != owner[picked])
+    columns = [
+        pa.array(line[picked], pa.int64()), pa.array(places[owner[picked]], pa.int64()), pa.array(keys[owner[picked]], pa.int64()),
+        pa.array(at[picked], pa.int32()), pa.array(until[picked], pa.int32()),
+        pa.array(line[before], pa.int64(), mask=no_before), pa.array(at[before], pa.int32(), mask=no_before),
+        pa.array(line[after], pa.int64(), mask=no_after), pa.array(until[after], pa.int32(), mask=no_after)]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in POSTS.split(", ")])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(place_, key_, spans): line ranges of each document that occur earlier."""
-    posts = docs.select("place", "text_key", "text").mapInArrow(
-        post, "hash long, place long, text_key long, line int, before array<long>, after array<long>")
-    first = posts.groupBy("hash").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = posts.join(first.select("hash", "first_place"), "hash")
-    source = repeated.where("place = first_place").groupBy("hash").agg(
-        F.min(F.struct("text_key", "line", "before", "after")).alias("s"))
-    matched = repeated.join(source, "hash").where("place <> first_place OR text_key <> s.text_key OR line <> s.line")
-    spans = matched.select("place", "text_key", F.struct(
-        (F.col("line") - equal_run(F.col("before"), F.col("s.before"))).alias("a"),
-        (F.col("line") + equal_run(F.col("after"), F.col("s.after")) + 1).alias("b")).alias("span"))
-    return spans.where(F.col("span.b") - F.col("span.a") >= WINDOW).groupBy(
-        F.col("place").alias("place_"), F.col("text_key").alias("key_")).agg(F.collect_set("span").alias("spans"))
+    """(place_, key_, spans): byte ranges of each document whose lines occur earlier.
+
+    Only hashes are counted over all documents; the rows of those that repeat are
+    written once. Every later occurrence is joined with one row, the first occurrence.
+    """
+    posted = docs.select("place", "text_key", "text").mapInArrow(post, POSTS)
+    first = posted.groupBy("hash").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = materialize(posted.join(first.select("hash", "first_place"), "hash"), "fingerprints")
+    source = repeated.where("place = first_place").groupBy("hash").agg(F.min(F.struct("text_key", "at", "before", "after")).alias("s"))
+    matched = repeated.join(source, "hash").where("place <> first_place OR text_key <> s.text_key OR at <> s.at")
+    spans = matched.select(
+        "place", "text_key", F.when(F.col("before") == F.col("s.before"), F.col("before_at")).alias("from_before"),
+        F.when(F.col("after") == F.col("s.after"), F.col("after_until")).alias("to_after"), "at", "until").where(
+        "from_before IS NOT NULL OR to_after IS NOT NULL")
+    return spans.groupBy(F.col("place").alias("place_"), F.col("text_key").alias("key_")).agg(F.collect_set(F.struct(
+        F.coalesce("from_before", "at").alias("a"), F.coalesce("to_after", "until").alias("b"))).alias("spans"))
 
 
 def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    """Each text without its repeated runs, the number of its lines and the runs deleted."""
+    """Each text without its repeated runs, and the byte ranges deleted."""
     out = []
     for text, found in zip(texts, spans, strict=True):
         if text is None or found is None or not len(found):
-            out.append((text, len(lines_of(text or "")), []))
+            out.append((text, []))
             continue
-        lines = lines_of(text)
-        covered = np.zeros(len(lines) + 1, bool)
-        for span in found:
-            covered[span["a"]:span["b"]] = True
-        covered[len(lines)] = False
-        edges = np.flatnonzero(np.diff(np.concatenate(([False], covered)).astype(np.int8)))
-        pieces, done, deleted = [], 0, []
-        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-            start, end = lines[a][0], lines[b - 1][1]
-            if len(text[start:end].split()) >= MIN_WORDS:
-                pieces.append(text[done:start])
-                done = end
-                deleted.append({"from_line": a, "to_line": b})
-        out.append(("".join(pieces) + text[done:], len(lines), deleted))
-    return pd.DataFrame(out, columns=["text", "n_lines", "deleted"])
-
-
-CUT = "text string, n_lines int, deleted array<struct<from_line:int,to_line:int>>"
+        data, pieces, done, deleted = text.encode(), [], 0, []
+        runs: list[list[int]] = []
+        for span in sorted(found, key=lambda s: s["a"]):
+            if runs and span["a"] <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], span["b"])
+            else:
+                runs.append([span["a"], span["b"]])
+        for a, b in runs:
+            if len(data[a:b].split()) >= MIN_WORDS:
+                pieces.append(data[done:a])
+                done = b
+                deleted.append({"from_byte": a, "to_byte": b})
+        out.append(((b"".join(pieces) + data[done:]).decode(), deleted))
+    return pd.DataFrame(out, columns=["text", "deleted"])
+
+
+CUT = "text string, deleted array<struct<from_byte:int,to_byte:int>>"
 
 
 def dedupe_lines(docs: DataFrame) -> DataFrame:
@@ -155,5 +187,5 @@ def dedupe(docs: DataFrame) -> DataFrame:
 
 def op3_lines(spark, sf_dir: str) -> DataFrame:
     return dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "row.doc_id", "cut.n_lines", F.size("cut.deleted").alias("n_runs"), "cut.deleted",
+        "row.doc_id", F.size("cut.deleted").alias("n_runs"), "cut.deleted",
         F.length("cut.text").cast("long").alias("n_chars_left"), F.sha2(F.col("cut.text").cast("binary"), 256).alias("left_sha256"))

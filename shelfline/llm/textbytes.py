@@ -54,12 +54,25 @@ class WordHasher:
         self.powers = np.cumprod(np.full(1024, GOLDEN | np.uint64(1), np.uint64))
 
     def block(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, start) of each word of a block of bytes."""
+        """(hash, start) of each word of a block of bytes, and of the wanted stems."""
+        hashes, starts, _, longer = self._hashed(data)
+        if not longer:
+            return hashes, starts
+        found = np.concatenate([hashes, *[h for h, _ in longer]])
+        places = np.concatenate([starts, *[p for _, p in longer]])
+        order = np.argsort(places, kind="stable")
+        return found[order], places[order]
+
+    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, start, end) of each word of a block of bytes."""
+        return self._hashed(data)[:3]
+
+    def _hashed(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         space = self.space[data]
         edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
         starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         if not len(starts):
-            return np.zeros(0, np.uint64), starts
+            return np.zeros(0, np.uint64), starts, ends, []
         lengths = ends - starts
         longest = int(lengths.max())
         while len(self.powers) < longest:
@@ -68,16 +81,12 @@ class WordHasher:
         within = np.arange(len(data)) - np.repeat(bounds, np.diff(np.append(bounds, len(data))))
         terms = self.codes[data] * self.powers[np.minimum(within, len(self.powers) - 1)]
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms)))
-        hashes, places = [mixed((sums[ends] - sums[starts]) ^ (lengths.astype(np.uint64) * GOLDEN))], [starts]
+        hashes = mixed((sums[ends] - sums[starts]) ^ (lengths.astype(np.uint64) * GOLDEN))
+        longer = []
         for size in self.prefixes:
-            longer = starts[lengths > size]
-            hashes.append(mixed((sums[longer + size] - sums[longer]) ^ mixed(np.array([size], np.uint64))))
-            places.append(longer)
-        if not self.prefixes:
-            return hashes[0], starts
-        hashes, places = np.concatenate(hashes), np.concatenate(places)
-        order = np.argsort(places, kind="stable")
-        return hashes[order], places[order]
+            at = starts[lengths > size]
+            longer.append((mixed((sums[at + size] - sums[at]) ^ mixed(np.array([size], np.uint64))), at))
+        return hashes, starts, ends, longer
 
     def of_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The word hashes of each text, in order; null is an empty text."""

@@ -261,6 +261,15 @@ def test_windows_always_share_a_fingerprint():
 
     draw = np.random.default_rng(3)
     for _ in range(50):
-        hashes = draw.integers(0, 5, 30)
-        picked = lines.fingerprints(hashes, 3)
-        assert all(((picked >= k) & (picked < k + 3)).any() for k in range(28))
+        hashes, owner = draw.integers(0, 5, 30), np.sort(draw.integers(0, 3, 30))
+        picked = set(lines.fingerprints(owner, hashes).tolist())
+        assert all({k, k + 1} & picked for k in range(29) if owner[k] == owner[k + 1])
+
+
+def test_lines_end_with_breaks_and_sentences_in_texts_of_any_size(monkeypatch):
+    texts = [b"A b.  C d\n\n e\nf! g", b"", b" \n", b"one", "\u00e4 b? c\n".encode()]
+    owner, hashes, at, until = lines.lines_of(WordHasher(), texts)
+    assert [(int(o), texts[o][a:b]) for o, a, b in zip(owner, at, until, strict=True)] == [
+        (0, b"A b.  "), (0, b"C d\n\n "), (0, b"e\n"), (0, b"f! "), (0, b"g"), (3, b"one"), (4, "\u00e4 b? ".encode()), (4, b"c\n")]
+    monkeypatch.setattr(lines, "BLOCK_BYTES", 3)
+    assert [x.tolist() for x in lines.lines_of(WordHasher(), texts)] == [x.tolist() for x in (owner, hashes, at, until)]
