@@ -355,6 +355,18 @@ def filled(grid: str) -> str:
 
 
 PARTS["rebuilt"] = filled("rebuild_grid")
+
+# The same marts drawn from capped quantities, the weekly ones over the dense calendar.
+PARTS["chain_daily"] = """
+    SELECT sell_date, store, item, count(*) AS tickets_qty, sum(total_cost) AS total_cost,
+           sum(least(item_qty, item_qty_max_offline)) AS item_qty,
+           round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
+    FROM tickets LEFT JOIN caps USING (item)
+    WHERE CAST(item AS VARCHAR) NOT LIKE '49%' GROUP BY sell_date, store, item"""
+for part in ("priced", "rebuild_grid", "rebuilt", "basic_exact", "basic"):
+    PARTS[f"chain_{part}"] = re.sub(
+        r"\b(FROM|JOIN) (daily|priced|rebuild_grid|weekly|basic_exact)\b", r"\1 chain_\2", PARTS[part])
+PARTS["chain_weekly"] = PARTS["weekly"].replace("FROM daily", "FROM chain_rebuilt")
 STORE_LIST = "(1, 2, 3, 5, 8)"
 WEEK_NAMES = [2818 + i for i in range(5)]
 
@@ -569,6 +581,7 @@ ORACLES: dict[str, str] = {
         SELECT {week_cols('sell_date')}, store, item, round(sum(item_qty), 6) AS item_qty,
                round(avg(item_qty), 6) AS avg_item_qty, round(avg(purchase_price), 6) AS avg_purchase_price
         FROM rebuilt GROUP BY ALL""",
+    "chain_basic": week_features("chain_basic", ["store", "item"], BASIC, BASIC_REACH),
     "week_calendar": "SELECT * FROM calendar",
     "features_by_week": "SELECT * FROM basic_by_week",
     "features_by_year": "SELECT * FROM basic_by_year",

@@ -581,6 +581,18 @@ def weekly_rebuild(i: Inputs) -> DataFrame:
     return agg.agg_week_store_item(daily)
 
 
+@register_as_is
+def chain_basic(i: Inputs) -> DataFrame:
+    """The basic run from ticket lines to features: caps, capped days, dense newest weeks, weekly sales, offsets."""
+    caps = agg.outlier_caps(i.tickets().where(~F.col("online")), i.tickets().where("online"))
+    capped = materialize(agg.agg_day_store_item(agg.cap_quantities(i.tickets(), caps)), "capped-days")
+    loaded = i.tickets().select(weeks.week_number(F.col("sell_date")).alias("week_num"))
+    bounds = agg.load_bounds(loaded, i.tickets(), sales.EXTENDED_REBUILD_WEEKS)
+    dense_days = sales.rebuild_daily(capped, bounds, agg.first_sale_date(i.sale_sources()))
+    return feat.offset_features(
+        rounded(sales.basic_weekly(dense_days)), ["store", "item"], feat.BASIC, feat.BASIC_REACH)
+
+
 @register
 def week_calendar(i: Inputs) -> DataFrame:
     return _calendar(i)
