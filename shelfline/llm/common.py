@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_side(written: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A written table of ids as a join's broadcast side if it has at most so many rows.
+
+    Beyond that, some tens of MB, the join is left to Spark, which sorts both sides
+    and splits skewed keys.
+    """
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, where ``value`` is worked out once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

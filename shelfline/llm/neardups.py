@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import components, forest, in_block_pairs, runs, table
+from shelfline.llm.common import components, forest, in_block_pairs, runs, small_side, table
 from shelfline.llm.textbytes import GOLDEN, WordHasher, mixed, shingle_set
 from shelfline.session import materialize
 
@@ -192,7 +192,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles")), "members")
     sizes = members.groupBy("root").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / GROUP_BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
-    wanted = keyed.select("doc_id", "text").join(members.select("rep_id"), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
+    # Whole texts stay where they are while the ids looked for are few.
+    wanted = keyed.select("doc_id", "text").join(small_side(members.select("rep_id")), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
     sets = wanted.select("text").mapInArrow(full_sets, "node binary, shingles binary")
     keys = ["root", "left_", "right_"]
     placed = in_block_pairs(members.join(sizes, "root").select("node", "root", "blocks"), "node", F.col("blocks"))
@@ -212,13 +213,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one row of each component; all columns, and all documents without words, stay."""
-    marks = near_duplicates(docs).groupBy("doc_id", "text_key").agg(
+    marks = materialize(near_duplicates(docs).groupBy("doc_id", "text_key").agg(
         F.bool_and(F.col("kept") & F.col("chosen")).alias("stays_"), F.count(F.lit(1)).alias("rows_"),
         F.max("n_shingles").alias("size_")).where("NOT stays_ OR (rows_ > 1 AND size_ > 0)").select(
-        F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"), "stays_")
+        F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"), "stays_"), "marks")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_")
     marked = docs.select(row, F.col("doc_id").alias("doc_id_"), F.xxhash64("text").alias("text_key_")).join(
-        marks, F.col("doc_id_").eqNullSafe(F.col("id_")) & (F.col("text_key_") == F.col("key_")), "left")
+        small_side(marks), F.col("doc_id_").eqNullSafe(F.col("id_")) & (F.col("text_key_") == F.col("key_")), "left")
     once = marked.where("stays_ IS NULL").select("row_.*")
     repeated = marked.where("stays_").dropDuplicates(["id_", "key_"]).select("row_.*")
     return once.unionByName(repeated)
