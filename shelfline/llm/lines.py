@@ -129,9 +129,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     written once. Every later occurrence is joined with one row, the first occurrence.
     """
     posted = docs.select("place", "text_key", "text").mapInArrow(post, POSTS)
-    first = posted.groupBy("hash").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written as well, so that the join below is one of two plain shuffles, whose hot hashes Spark can split.
+    first = materialize(posted.groupBy("hash").agg(
+        F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-hashes")
     repeated = materialize(posted.join(first.select("hash", "first_place"), "hash"), "fingerprints")
-    source = repeated.where("place = first_place").groupBy("hash").agg(F.min(F.struct("text_key", "at", "before", "after")).alias("s"))
+    source = materialize(repeated.where("place = first_place").groupBy("hash").agg(
+        F.min(F.struct("text_key", "at", "before", "after")).alias("s")), "first-places")
     matched = repeated.join(source, "hash").where("place <> first_place OR text_key <> s.text_key OR at <> s.at")
     spans = matched.select(
         "place", "text_key", F.when(F.col("before") == F.col("s.before"), F.col("before_at")).alias("from_before"),
