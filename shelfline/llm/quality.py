@@ -33,7 +33,8 @@ GOOD = 0.7
 STEP = 8
 WIDTH = 8
 FILTERS = 32
-PIECE = 1 << 20
+PIECE = 1 << 19
+ROWS = 500
 EPOCHS = 8
 BATCH = 50
 
@@ -152,10 +153,17 @@ def gradient(net: Network, blocks: np.ndarray, goal: float, grads: list[np.ndarr
         np.add.at(grads[0], bytes_.ravel(), (net.filters[half].T * back[:, None]).reshape(-1, WIDTH))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, whose texts may be copied."""
+    for batch in batches:
+        for n in range(0, batch.num_rows, ROWS):
+            yield batch.slice(n, ROWS)
+
+
 def scorer(score: Callable[[list[bytes]], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The other columns and a score per row of batches with a text column."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in batch.column("text")]
             rest = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(score(texts), pa.float64())], names=[*rest.schema.names, "score"])

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 SPACES = re.compile(rb"[\x20\x09-\x0d]")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 

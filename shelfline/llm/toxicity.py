@@ -20,7 +20,7 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import table
-from shelfline.llm.quality import scores, sigmoid
+from shelfline.llm.quality import scores, sigmoid, slices
 from shelfline.llm.samples import fold, labelled_sample
 from shelfline.llm.textbytes import WordHasher, is_no_letter
 
@@ -88,7 +88,7 @@ class Voters:
             yield mask | shouting(text) << (VOTERS - PATTERNS)
 
     def vote(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([pa.array(list(self.masks(batch.column("text"))), pa.int32())], names=["mask"])
 
 
@@ -277,17 +277,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Linear:
     return train_linear(features, marked_posterior(model, voted, goal) if len(voted) else np.zeros(0))
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not hold toxic, with all their columns."""
-    model = fit_toxicity(docs, labels)
-    score = F.pandas_udf(lambda texts: series_scores(model, texts), "double")
-    return docs.where(score(F.coalesce(F.col("text"), F.lit(""))) < TOXIC)
+def keeper(model: Linear) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Whole rows of the texts that the model does not hold toxic."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in batch.column("text")]
+            yield batch.filter(pa.array(model.score(texts) < TOXIC))
 
+    return run
 
-def series_scores(model: Linear, texts):
-    import pandas as pd
 
-    return pd.Series(model.score([t.encode() for t in texts]))
+def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the classifier does not hold toxic, with all their columns."""
+    return docs.mapInArrow(keeper(fit_toxicity(docs, labels)), docs.schema)
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
