@@ -25,6 +25,18 @@ def small_side(written: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(written) if written.count() <= rows else written
 
 
+def in_small_batches(texts: DataFrame, rows: int = 1000) -> DataFrame:
+    """The same rows, for functions over Arrow batches; whole texts call for batches of few rows.
+
+    Lowers the session's setting if it is higher, as batches take memory outside the
+    JVM's heap on both sides.
+    """
+    conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return texts
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, where ``value`` is worked out once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

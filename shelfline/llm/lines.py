@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import table
+from shelfline.llm.common import in_small_batches, table
 from shelfline.llm.textbytes import BLOCK_BYTES, GOLDEN, SPACES, WordHasher, mixed
 from shelfline.session import materialize
 
@@ -173,7 +173,7 @@ CUT = "text string, deleted array<struct<from_byte:int,to_byte:int>>"
 def dedupe_lines(docs: DataFrame) -> DataFrame:
     """(row, cut): each row of ``docs`` as a struct, and its text without later repeated runs, as CUT."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place"),
+    keyed = in_small_batches(docs).select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place"),
                         F.xxhash64("text").alias("text_key"), F.col("text"))
     marked = keyed.join(repeated_spans(keyed), (F.col("place") == F.col("place_")) & (F.col("text_key") == F.col("key_")), "left")
     return marked.select("row", F.pandas_udf(cut, CUT)("row.text", "spans").alias("cut"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import components, forest, in_block_pairs, runs, small_side, table
+from shelfline.llm.common import components, forest, in_block_pairs, in_small_batches, runs, small_side, table
 from shelfline.llm.textbytes import GOLDEN, WordHasher, mixed, shingle_set
 from shelfline.session import materialize
 
@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``kept`` marks the ids that stand for their component; ``chosen`` marks one text
     of it, should an id have several.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text"))
+    keyed = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text"))
     signed = materialize(keyed.mapInArrow(
         sign, "doc_id long, text_key long, n_shingles long, node binary, tokens array<long>, short binary"), "signed")
     classes = signed.where("node IS NOT NULL").select("node", "tokens", "short").dropDuplicates(["node"])

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import table
+from shelfline.llm.common import in_small_batches, table
 from shelfline.llm.textbytes import GOLDEN, mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -341,7 +341,7 @@ def stretches(text: str) -> Iterator[str]:
 def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id, ids and lossless per document. The vocabulary is read once and travels with the job."""
     encoder = Encoder(load_vocabulary(model), dropout, seed)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(
+    return in_small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(
         encoder.batches, "doc_id long, ids array<int>, lossless boolean")
 
 

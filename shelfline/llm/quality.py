@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import table
+from shelfline.llm.common import in_small_batches, table
 from shelfline.llm.samples import fold, labelled_sample
 
 SAMPLE_ROWS = 3000
@@ -173,7 +173,7 @@ def scorer(score: Callable[[list[bytes]], np.ndarray]) -> Callable[[Iterator[pa.
 
 def scores(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
     """doc_id and the score of every row's whole text."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scorer(score), "doc_id long, score double")
+    return in_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(scorer(score), "doc_id long, score double")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> Network:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import table
+from shelfline.llm.common import in_small_batches, table
 from shelfline.llm.quality import scores, sigmoid, slices
 from shelfline.llm.samples import fold, labelled_sample
 from shelfline.llm.textbytes import WordHasher, is_no_letter
@@ -271,7 +271,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Linear:
     voters = build_voters(features, np.array([label for _, label in sample], int))
     goal = np.array([label for _, label in sample], int)
     voted = np.array(list(voters.masks(pa.array(texts, pa.string()))), int)
-    counted = docs.select("text").mapInArrow(voters.vote, "mask int").groupBy("mask").agg(F.count(F.lit(1)).alias("n")).collect()
+    counted = in_small_batches(docs).select("text").mapInArrow(voters.vote, "mask int").groupBy("mask").agg(F.count(F.lit(1)).alias("n")).collect()
     masks = np.array([r["mask"] for r in counted], int)
     model = fit_label_model(masks, np.array([r["n"] for r in counted], float), *marks(masks, voted, goal))
     return train_linear(features, marked_posterior(model, voted, goal) if len(voted) else np.zeros(0))
