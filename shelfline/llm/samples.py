@@ -11,6 +11,12 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)), F.lit(-1)).cast("int")
 
 
+def picked_labels(labels: DataFrame, label: str, folds: int, held_out: int, rows: int) -> DataFrame:
+    """(id_, label) of at most ``rows`` ids outside the held-out fold: those with the least hashes, whatever the layout."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
+    return known.groupBy(F.col("doc_id").alias("id_")).agg(F.max(label).alias("label")).orderBy(F.xxhash64("id_"), "id_").limit(rows)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
                     rows: int, chars: int) -> list[tuple[str, int]]:
     """At most ``rows`` (text, label) of documents outside the held-out fold, for the driver.
@@ -19,12 +25,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     depend on the layout. A text longer than ``chars`` gives a stretch of that length
     that starts at a place set by its id; this bounds what the driver holds.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
-    picked = known.groupBy("doc_id").agg(F.max(label).alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    picked = picked_labels(labels, label, folds, held_out, rows)
     text = F.coalesce(F.col("text"), F.lit(""))
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length(text) - chars, F.lit(0)) + 1).cast("int") + 1
     # The picked ids are at most ``rows``: a side of known size.
     found = docs.select("doc_id", F.substring(text, start, F.lit(chars)).alias("text"), F.xxhash64("text").alias("key")).join(
-        F.broadcast(picked.withColumnRenamed("doc_id", "id_")), F.col("doc_id") == F.col("id_"))
+        F.broadcast(picked), F.col("doc_id") == F.col("id_"))
     one = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "label"), "key").alias("s"))
     return [(r.text, int(r.label)) for r in one.orderBy("doc_id").select("s.text", "s.label").collect()]

@@ -7,13 +7,16 @@
 3. A generative label model is fitted to those counts by expectation maximisation: the
    class prior, how often each voter fires in either class, and, as voters repeat each
    other, the strongest correlations between them, a tree per class.
-4. The model's posteriors, with each text's own mark as one more voter of known
-   accuracy, label the sample's texts, and a linear classifier over words
-   and word stems learns from these labels. It scores whole texts of any length.
+4. A linear classifier over words and word stems learns the model's posteriors of
+   documents drawn from the whole corpus, marked or not: at most 6,000 that the model
+   holds toxic and 6,000 others, outside the held-out fold, each weighed by the
+   documents it stands for. Marks mine words and place the label model's classes, but
+   are no targets. Whole texts are reduced to their words inside Spark tasks, and
+   whole texts of any length are scored.
 
 Defined cases: null and empty texts have no words and get the score of the bias;
-documents without a label are voted on and scored like others; repeated rows count
-each and score alike; labels without a document are ignored; without a toxic label
+documents without a label are voted on, drawn and scored like others; repeated rows
+(same doc_id and text) count each as votes, are drawn once and score alike; labels without a document are ignored; without a toxic label
 only the lists written by hand vote; extra columns do no harm; an empty table gives an
 empty result.
 """
@@ -30,13 +33,13 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.common import in_small_batches, table
 from shelfline.llm.quality import scores, sigmoid, slices
-from shelfline.llm.samples import fold, labelled_sample
+from shelfline.llm.samples import fold, picked_labels
 from shelfline.llm.textbytes import WordHasher, is_no_letter
+from shelfline.session import materialize
 
 SAMPLE_ROWS = 6000
-MARKED_RIGHT = 0.99
+DRAWN_ROWS = 6000
 TIED = 4.0
-SAMPLE_CHARS = 40_000
 FOLDS, HELD_OUT = 5, 0
 TOXIC = 0.5
 STEMS = (4, 5, 6)
@@ -87,9 +90,14 @@ class Voters:
             text = value.as_buffer() if value.is_valid else b""
             yield mask | shouting(text) << (VOTERS - PATTERNS)
 
+    def mask_of(self, features: np.ndarray, shouts: int) -> int:
+        """The same for the features and pattern votes of one text."""
+        return int(np.bitwise_or.reduce(self.bits[positions(self.hashes, features)])) | shouts << (VOTERS - PATTERNS)
+
     def vote(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(list(self.masks(batch.column("text"))), pa.int32())], names=["mask"])
+            mask = pa.array(list(self.masks(batch.column("text"))), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("open"), batch.column("key"), mask], names=["open", "key", "mask"])
 
 
 def positions(known: np.ndarray, found: np.ndarray) -> np.ndarray:
@@ -100,9 +108,23 @@ def positions(known: np.ndarray, found: np.ndarray) -> np.ndarray:
     return at[known[at] == found]
 
 
-def sample_features(texts: list[str]) -> list[np.ndarray]:
+def features_and_shouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to id, the distinct hashes of the whole text's words and stems, and its pattern votes."""
     hasher = WordHasher(is_no_letter(), STEMS)
-    return [np.unique(f) for f in hasher.of_texts(pa.array(texts, pa.string()))]
+    for batch in slices(batches):
+        found = [np.unique(f).tobytes() for f in hasher.of_texts(batch.column("text"))]
+        shouts = [shouting(v.as_buffer() if v.is_valid else b"") for v in batch.column("text")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(found, pa.binary()), pa.array(shouts, pa.int32())], names=["id", "features", "shouts"])
+
+
+def featured(texts: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
+    """By id, the features and pattern votes of (id, text); of several texts of an id, those of one set by the features."""
+    found = texts.mapInArrow(features_and_shouts, "id long, features binary, shouts int")
+    one = found.groupBy("id").agg(F.min_by(F.struct("features", "shouts"), F.xxhash64("features", "shouts")).alias("s"))
+    rows = one.select("id", "s.*").toArrow()
+    return {k: (np.frombuffer(f.as_buffer(), np.uint64), s) for k, f, s in zip(
+        rows.column("id").to_pylist(), rows.column("features"), rows.column("shouts").to_pylist(), strict=True)}
 
 
 def evidence(features: list[np.ndarray], goal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -163,13 +185,6 @@ def votes_of(masks: np.ndarray) -> np.ndarray:
     return (masks[:, None] >> np.arange(VOTERS)) & 1
 
 
-def marked_posterior(model: LabelModel, masks: np.ndarray, goal: np.ndarray) -> np.ndarray:
-    """Posteriors of the sample's texts, where each one's own mark is a voter of known accuracy."""
-    mark = np.log(MARKED_RIGHT / (1 - MARKED_RIGHT))
-    chance = np.clip(model.posterior(votes_of(masks)), 0.03, 0.97)
-    return sigmoid(np.log(chance / (1 - chance)) + np.where(goal > 0, mark, -mark))
-
-
 def strongest_tree(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Parents in the spanning tree of greatest mutual information between voters."""
     total = max(weight.sum(), 1e-12)
@@ -238,8 +253,8 @@ class Linear:
         return sigmoid(out + self.bias)
 
 
-def train_linear(features: list[np.ndarray], goal: np.ndarray, steps: int = 500) -> Linear:
-    """Logistic regression with squared penalty on the features most tied to the toxic label."""
+def train_linear(features: list[np.ndarray], goal: np.ndarray, stands_for: np.ndarray, steps: int = 500) -> Linear:
+    """Logistic regression with squared penalty on the features most tied to a goal of at least one half."""
     every, toxic, clean, ratio = evidence(features, (goal >= 0.5).astype(int))
     # Only features tied to toxicity: weights against it would add up in long texts.
     often = np.flatnonzero((toxic >= 3) & (ratio >= TIED))
@@ -250,11 +265,11 @@ def train_linear(features: list[np.ndarray], goal: np.ndarray, steps: int = 500)
         rows.append(np.full(len(at), n))
         columns.append(at)
     row, column = np.concatenate(rows or [np.zeros(0, int)]), np.concatenate(columns or [np.zeros(0, int)])
-    weights, rate = np.zeros(len(known)), float(np.clip(goal.mean() if len(goal) else 0.05, 1e-3, 1 - 1e-3))
+    weights, rate = np.zeros(len(known)), float(np.clip(np.average(goal, weights=stands_for) if len(goal) else 0.05, 1e-3, 1 - 1e-3))
     bias = float(np.log(rate / (1 - rate)))
     speed, bias_speed = np.full(len(known), 1e-6), 1e-6
     for _ in range(steps):
-        error = sigmoid(np.bincount(row, weights[column], minlength=len(goal)) + bias) - goal
+        error = (sigmoid(np.bincount(row, weights[column], minlength=len(goal)) + bias) - goal) * stands_for
         slope = np.bincount(column, error[row], minlength=len(known)) + 0.005 * weights
         speed += slope * slope
         weights -= 0.3 * slope / np.sqrt(speed)
@@ -263,18 +278,53 @@ def train_linear(features: list[np.ndarray], goal: np.ndarray, steps: int = 500)
     return Linear(known, weights, bias)
 
 
+def marked_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], list[int], np.ndarray]:
+    """Features, pattern votes and marks of at most SAMPLE_ROWS marked documents outside the held-out fold."""
+    picked = {r.id_: r.label for r in picked_labels(labels, "toxic", FOLDS, HELD_OUT, SAMPLE_ROWS).collect()}
+    ids = docs.sparkSession.createDataFrame(sorted(picked), "long").withColumnRenamed("value", "id_")
+    found = featured(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids), F.col("id") == F.col("id_")).select("id", "text"))
+    known = sorted(found)
+    return [found[k][0] for k in known], [found[k][1] for k in known], np.array([picked[k] for k in known], int)
+
+
+def draw(voted: DataFrame, toxic_masks: list[int]) -> tuple[dict[int, int], dict[bool, int]]:
+    """Masks by key of the documents drawn, and how many distinct documents there are on either side."""
+    drawn, there = {}, {}
+    distinct = voted.where("open").groupBy("key").agg(F.max("mask").alias("mask"))
+    for side in (True, False):
+        held = F.col("mask").isin(toxic_masks) if toxic_masks else F.lit(False)
+        part = distinct.where(held if side else ~held)
+        there[side] = part.count()
+        # Keys are hashes: the least ones are a draw that does not depend on the layout.
+        drawn |= {r.key: r.mask for r in part.orderBy(F.xxhash64("key"), "key").limit(DRAWN_ROWS).collect()}
+    return drawn, there
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Linear:
-    """Voters and classifier from the sample, the label model from the votes on all documents."""
-    sample = labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, SAMPLE_ROWS, SAMPLE_CHARS)
-    texts = [text for text, _ in sample]
-    features = sample_features(texts)
-    voters = build_voters(features, np.array([label for _, label in sample], int))
-    goal = np.array([label for _, label in sample], int)
-    voted = np.array(list(voters.masks(pa.array(texts, pa.string()))), int)
-    counted = in_small_batches(docs).select("text").mapInArrow(voters.vote, "mask int").groupBy("mask").agg(F.count(F.lit(1)).alias("n")).collect()
+    """Voters from the marked sample, the label model from the votes on all documents, the classifier from its posteriors."""
+    features, shouts, goal = marked_sample(docs, labels)
+    voters = build_voters(features, goal)
+    marked = np.array([voters.mask_of(f, s) for f, s in zip(features, shouts, strict=True)], int)
+    del features
+    keyed = in_small_batches(docs).select(
+        (fold(F.col("doc_id"), FOLDS) != HELD_OUT).alias("open"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("key"), "text")
+    voted = materialize(keyed.mapInArrow(voters.vote, "open boolean, key long, mask int"), "votes")
+    counted = voted.groupBy("mask").agg(F.count(F.lit(1)).alias("n")).collect()
     masks = np.array([r["mask"] for r in counted], int)
-    model = fit_label_model(masks, np.array([r["n"] for r in counted], float), *marks(masks, voted, goal))
-    return train_linear(features, marked_posterior(model, voted, goal) if len(voted) else np.zeros(0))
+    model = fit_label_model(masks, np.array([r["n"] for r in counted], float), *marks(masks, marked, goal))
+    chance = dict(zip(masks.tolist(), model.posterior(votes_of(masks)).tolist(), strict=True))
+    drawn, there = draw(voted, [m for m, p in chance.items() if p >= 0.5])
+    # The drawn keys are at most 2 * DRAWN_ROWS: a side of known size.
+    keys = docs.sparkSession.createDataFrame(sorted(drawn), "long").withColumnRenamed("value", "key_")
+    found = featured(keyed.join(F.broadcast(keys), F.col("key") == F.col("key_")).select(F.col("key").alias("id"), "text"))
+    known = sorted(found)
+    goal = np.array([chance[drawn[k]] for k in known])
+    stands_for = np.ones(len(known))
+    for side in (True, False):
+        here = (goal >= 0.5) == side
+        stands_for[here] = there[side] / max(here.sum(), 1)
+    # Weights of mean one: the penalty means the same in a corpus of any size.
+    return train_linear([found[k][0] for k in known], goal, stands_for / max(stands_for.mean() if len(known) else 1, 1e-12))
 
 
 def keeper(model: Linear) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

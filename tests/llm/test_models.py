@@ -115,6 +115,22 @@ def test_toxicity_without_labels_and_on_odd_rows(spark):
     assert toxicity.reject_toxic(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_learns_from_unmarked_documents_and_not_from_wrong_marks(spark):
+    draw = random.Random(4)
+    words = ["".join(draw.choice("bcdfgk") + draw.choice("aeiou") for _ in range(4)) for _ in range(300)]
+    def plain():
+        return " ".join(draw.choice(words) for _ in range(40))
+
+    toxic = [f"{plain()} idiot worthless scum {plain()} zorblax" for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(toxic + [plain() for _ in range(600)])), "doc_id long, text string")
+    # No marked document has the word that comes with insults, and a few insults are marked clean.
+    labels = spark.createDataFrame([(n, 1, 0) for n in [0, 1, 2, *range(60, 360)]], "doc_id long, quality int, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert np.mean(model.score([t.encode() for t in toxic]) >= 0.5) > 0.9
+    assert model.score([b"zorblax"])[0] > 2 * model.score([words[0].encode()])[0]
+    assert np.mean(model.score([plain().encode() for _ in range(100)]) >= 0.5) < 0.05
+
+
 # ---------------------------------------------------------------------------- pieces
 
 TEXTS = ["Hello  wörld\n\nfoo ﬁ Å", "", " ", "   a", "a" * 300, "日本語テキスト🙂\x00\t", "x ▁ y", "https://example.org/" + "abc/de?f=%20" * 20,
