@@ -25,8 +25,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The same words as [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ gives; a class of ranges is much
 # faster than the complement of a class.
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
-ANY_CASE_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
-HINTS = ("licens", "licenc", "spdx", "copyleft", "public domain", "permission", "redistribution", "wtfpl", "creative", "cc0", "cc by", "cc-by", "any later version")
 
 # The phrases every scan reports, and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -129,16 +127,16 @@ def rules() -> list[Rule]:
                   key=lambda r: r.priority)
 
 
-def hinted_at(text: Column) -> Column:
-    """Whether any word that a rule needs can occur; the cheap test that most texts end with."""
-    return let(F.lower(text), lambda low: F.exists(F.array(*[F.lit(h) for h in HINTS]), lambda h: F.contains(low, h)))
+def gates_in(spaced: Column, rule_list: list[Rule]) -> Column:
+    """Those of the rules' gates that occur in a text's words joined by spaces; without one no rule can match."""
+    return F.filter(F.array(*[F.lit(g) for g in sorted({r.gate for r in rule_list})]), lambda g: F.contains(spaced, g))
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
-def detections(spaced: Column, rule_list: list[Rule]) -> Column:
+def detections(spaced: Column, gates: Column, rule_list: list[Rule]) -> Column:
     """Array of (rule, its priority, label and sureness, n, gap, width): the n-th match of a rule, and the text length before it since the last."""
     table_of = F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(r.gate).alias("gate"), F.lit(r.way).alias("way"), F.lit(r.pattern).alias("pattern"),
                                   F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.sure).alias("sure"))
@@ -150,7 +148,7 @@ def detections(spaced: Column, rule_list: list[Rule]) -> Column:
                    lambda m: F.transform(m["hits"], lambda hit, n: F.struct(
                        *[r[c].alias(c) for c in ("rule", "priority", "label", "sure")], n.alias("n"), F.length(F.get(m["gaps"], n)).alias("gap"), F.length(hit).alias("width"))))
 
-    return F.flatten(F.transform(F.filter(table_of, lambda r: F.contains(spaced, r["gate"]) & F.contains(spaced, r["way"])), matches))
+    return F.flatten(F.transform(F.filter(table_of, lambda r: F.array_contains(gates, r["gate"]) & F.contains(spaced, r["way"])), matches))
 
 
 def scan(docs: DataFrame, text: str = "text", rule_list: list[Rule] | None = None) -> DataFrame:
@@ -158,10 +156,8 @@ def scan(docs: DataFrame, text: str = "text", rule_list: list[Rule] | None = Non
     rule_list = rule_list or rules()
     keep = [c for c in docs.columns if c != text]
     kept = F.struct(*[F.col(f"`{c}`") for c in keep])
-    hinted = docs.select(kept.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
-        "row", F.monotonically_increasing_id().alias("row_id"),
-        F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"),
-        F.when(hinted_at(F.col("text")), words_of(F.col("text"))).alias("words"))
+    worded = docs.select(kept.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
+        "row", F.monotonically_increasing_id().alias("row_id"), words_of(F.col("text")).alias("words"))
 
     def starts(words: Column) -> Column:
         def at(n: Column) -> Column:
@@ -175,13 +171,14 @@ def scan(docs: DataFrame, text: str = "text", rule_list: list[Rule] | None = Non
         return F.filter(F.transform(words, lambda _, n: n), at)
 
     spaced = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    scanned = hinted.select(
-        "row", "row_id", "n_words", F.when(F.array_contains("words", "license"), starts(F.col("words"))).alias("starts"), spaced.alias("spaced"))
+    scanned = worded.select(
+        "row", "row_id", F.size("words").cast("long").alias("n_words"), F.when(F.array_contains("words", "license"), starts(F.col("words"))).alias("starts"), spaced.alias("spaced"))
+    scanned = scanned.select("*", gates_in(F.col("spaced"), rule_list).alias("gates"))
     found = scanned.select(
         "row", "row_id", "n_words", F.coalesce(F.size("starts"), F.lit(0)).cast("long").alias("n_base"),
         F.array_min("starts").cast("long").alias("first_word"), F.array_max("starts").cast("long").alias("last_word"),
         F.array_compact(F.array(*[F.when(F.contains("spaced", F.lit(f" {p} ")), F.lit(label)) for p, label in BASE])).alias("base"),
-        F.explode_outer(F.when(F.col("spaced").isNotNull(), detections(F.col("spaced"), rule_list))).alias("hit"))
+        F.explode_outer(F.when(F.size("gates") > 0, detections(F.col("spaced"), F.col("gates"), rule_list))).alias("hit"))
     placed = found.repartition("row_id").withColumn("end", F.sum(F.col("hit.gap") + F.col("hit.width")).over(
         Window.partitionBy("row_id", "hit.rule").orderBy("hit.n"))).withColumn("start", F.col("end") - F.col("hit.width"))
     earlier = Window.partitionBy("row_id").orderBy("start", F.desc("end"), "hit.rule").rowsBetween(Window.unboundedPreceding, -1)

@@ -170,6 +170,14 @@ def test_license_places_and_suppression(spark):
     assert by[3, 0].n_words == by[4, 0].n_words == 0 and by[1, 2].n_base == 1
 
 
+def test_rules_need_no_words_but_their_own(spark):
+    found = {"This program is released under the GPL version 2.": "gpl-2.0", "Distributed under the terms of Apache 2.0.": "apache-2.0",
+             "available under BSD-3-Clause": "bsd-3-clause", "covered under MPL 2.0": "mpl-2.0", "under LGPL 2.1": "lgpl-2.1", "AGPL v3": "agpl-3.0",
+             "released into the public\ndomain": "public-domain", "under cc  by\nsa 4.0": "cc-by-sa", "under CC0 1.0": "cc0-1.0", "the WTFPL": "wtfpl"}
+    out = licenses.scan(documents(spark, list(enumerate(found)))).collect()
+    assert {r.doc_id: r.labels for r in out} == dict(enumerate(found.values())) and all(r.score > 0 for r in out)
+
+
 def test_every_rule_compiles_and_there_are_hundreds():
     rules = licenses.rules()
     assert len(rules) > 300 and [r.priority for r in rules] == sorted(r.priority for r in rules)
