@@ -3,10 +3,11 @@
 A text is cut into lines after line breaks and, so that passages inside long lines
 are seen too, after words that end a sentence. Lines are equal if their words are,
 A-Z lower-cased. Of every two neighbouring lines the one with the least hash is a
-fingerprint: any run of two lines that occurs twice shares one at the same place.
-Each fingerprint is joined with its first occurrence in the corpus, and the match is
-extended both ways as far as a window reaches, which is up to the run's next
-fingerprint or its end. Runs of matched lines with at least 20 words are deleted
+fingerprint. It is posted with the line before and with the line after it, so that a
+common line is told apart by its neighbours, and every run of two lines that occurs
+twice is matched, wherever its lines occur first. Each pair is joined with its first
+occurrence in the corpus; matches that touch are one run.
+Runs of matched lines with at least 20 words are deleted
 wherever they occur later; the first occurrence, in the order of (doc_id, text hash,
 place in the text), stays.
 
@@ -35,7 +36,7 @@ from shelfline.session import materialize
 MIN_WORDS = 20
 SENTENCE_END = np.array([33, 46, 63], np.uint8)
 LAST = (1 << 63) - 1
-POSTS = ("hash long, place long, text_key long, at int, until int, before long, before_at int, after long, after_until int")
+POSTS = "hash long, place long, text_key long, at int, until int"
 
 
 def words_and_breaks(hasher: WordHasher, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +92,7 @@ def fingerprints(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, text_key, text) to a row per fingerprint, with the lines before and after it."""
+    """(place, text_key, text) to a row per fingerprint and neighbour."""
     hasher = WordHasher()
     for batch in batches:
         places, keys = batch.column("place").to_numpy(), batch.column("text_key").to_numpy()
@@ -111,14 +112,15 @@ def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def posts(hasher: WordHasher, texts: list[bytes], places: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
     owner, line, at, until = lines_of(hasher, texts)
     picked = fingerprints(owner, line)
-    before, after = np.maximum(picked - 1, 0), np.minimum(picked + 1, max(len(line) - 1, 0))
-    no_before = (picked == 0) | (owner[before] != owner[picked])
-    no_after = (picked == after) | (owner[after] != owner[picked])
+    # A pair is known by its first line; two fingerprints side by side share one.
+    first = np.zeros(len(line) + 1, bool)  # with a slot for the line before the first one
+    first[picked - 1] = first[picked] = True
+    pair = np.flatnonzero(first[:-2] & (owner[1:] == owner[:-1]))
+    words = line.view(np.uint64)
+    hashes = mixed(mixed(words[pair] + GOLDEN) + words[pair + 1]).view(np.int64)
     columns = [
-        pa.array(line[picked], pa.int64()), pa.array(places[owner[picked]], pa.int64()), pa.array(keys[owner[picked]], pa.int64()),
-        pa.array(at[picked], pa.int32()), pa.array(until[picked], pa.int32()),
-        pa.array(line[before], pa.int64(), mask=no_before), pa.array(at[before], pa.int32(), mask=no_before),
-        pa.array(line[after], pa.int64(), mask=no_after), pa.array(until[after], pa.int32(), mask=no_after)]
+        pa.array(hashes, pa.int64()), pa.array(places[owner[pair]], pa.int64()), pa.array(keys[owner[pair]], pa.int64()),
+        pa.array(at[pair], pa.int32()), pa.array(until[pair + 1], pa.int32())]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in POSTS.split(", ")])
 
 
@@ -134,14 +136,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-hashes")
     repeated = materialize(posted.join(first.select("hash", "first_place"), "hash"), "fingerprints")
     source = materialize(repeated.where("place = first_place").groupBy("hash").agg(
-        F.min(F.struct("text_key", "at", "before", "after")).alias("s")), "first-places")
+        F.min(F.struct("text_key", "at")).alias("s")), "first-places")
     matched = repeated.join(source, "hash").where("place <> first_place OR text_key <> s.text_key OR at <> s.at")
-    spans = matched.select(
-        "place", "text_key", F.when(F.col("before") == F.col("s.before"), F.col("before_at")).alias("from_before"),
-        F.when(F.col("after") == F.col("s.after"), F.col("after_until")).alias("to_after"), "at", "until").where(
-        "from_before IS NOT NULL OR to_after IS NOT NULL")
-    return spans.groupBy(F.col("place").alias("place_"), F.col("text_key").alias("key_")).agg(F.collect_set(F.struct(
-        F.coalesce("from_before", "at").alias("a"), F.coalesce("to_after", "until").alias("b"))).alias("spans"))
+    return matched.groupBy(F.col("place").alias("place_"), F.col("text_key").alias("key_")).agg(
+        F.collect_set(F.struct(F.col("at").alias("a"), F.col("until").alias("b"))).alias("spans"))
 
 
 def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:

@@ -259,6 +259,15 @@ def test_later_repeats_of_runs_go(spark):
     assert lines.dedupe(docs.limit(0)).count() == 0
 
 
+def test_passages_of_common_lines_go(spark):
+    common = [invented(0, 300 + k, 7) + "." for k in range(5)]
+    # Each line occurs first on its own, between other lines than in the passage.
+    alone = [(k, f"{invented(0, 400 + k, 9)}.\n{c}\n{invented(0, 500 + k, 9)}.") for k, c in enumerate(common)]
+    passage = "\n".join(common)
+    out = {r.row.doc_id: r.cut.text for r in lines.dedupe_lines(documents(spark, [*alone, (10, passage), (11, f"own words\n{passage}\nat the end")])).collect()}
+    assert out == {**dict(alone), 10: passage, 11: "own words\nat the end"}
+
+
 def test_short_repeats_and_clean_texts_stay(spark):
     texts = [(n, f"Hello there. Good day.\n{invented(0, n, 40)}\nBye now.") for n in range(5)]
     assert sorted(r.text for r in lines.dedupe(documents(spark, texts)).collect()) == sorted(t for _, t in texts)
