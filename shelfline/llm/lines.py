@@ -6,7 +6,8 @@ A-Z lower-cased. Of every two neighbouring lines the one with the least hash is
 fingerprint. It is posted with the line before and with the line after it, so that a
 common line is told apart by its neighbours, and every run of two lines that occurs
 twice is matched, wherever its lines occur first. Each pair is joined with its first
-occurrence in the corpus; matches that touch are one run.
+occurrence in the corpus; matches that touch are one run. A line of at least 20 words
+is posted by itself as well and needs no matching neighbour.
 Runs of matched lines with at least 20 words are deleted
 wherever they occur later; the first occurrence, in the order of (doc_id, text hash,
 place in the text), stays.
@@ -68,21 +69,27 @@ def words_and_breaks(hasher: WordHasher, data: bytes) -> tuple[np.ndarray, np.nd
 
 def lines_of(hasher: WordHasher, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text number, hash, start, end) of each line; a line ends where the next one or nothing follows."""
+    return sized_lines(hasher, texts)[:4]
+
+
+def sized_lines(hasher: WordHasher, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same and the number of words of each line."""
     ends = np.cumsum([len(t) + 1 for t in texts])
     hashes, starts, breaks = words_and_breaks(hasher, b"\n".join(texts))
     if not len(hashes):
-        return (np.zeros(0, int),) * 4
+        return (np.zeros(0, int),) * 5
     owner = np.searchsorted(ends, starts, side="right")
     breaks[1:] |= owner[1:] != owner[:-1]
     first = np.flatnonzero(breaks)
-    number = np.arange(len(hashes)) - np.repeat(first, np.diff(np.append(first, len(hashes))))
+    sizes = np.diff(np.append(first, len(hashes)))
+    number = np.arange(len(hashes)) - np.repeat(first, sizes)
     line = np.add.reduceat(mixed(hashes + number.astype(np.uint64) * GOLDEN), first)
     owner, begin = owner[first], starts[first]
     until = np.append(begin[1:], 0)
     last = np.append(owner[1:] != owner[:-1], True)
     until[last] = ends[owner[last]] - 1
     base = (ends - [len(t) + 1 for t in texts])[owner]
-    return owner, line.view(np.int64), begin - base, until - base
+    return owner, line.view(np.int64), begin - base, until - base, sizes
 
 
 def fingerprints(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -92,7 +99,7 @@ def fingerprints(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, text_key, text) to a row per fingerprint and neighbour."""
+    """(place, text_key, text) to a row per fingerprint and neighbour, and per long line."""
     hasher = WordHasher()
     for batch in batches:
         places, keys = batch.column("place").to_numpy(), batch.column("text_key").to_numpy()
@@ -110,17 +117,19 @@ def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def posts(hasher: WordHasher, texts: list[bytes], places: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-    owner, line, at, until = lines_of(hasher, texts)
+    owner, line, at, until, sizes = sized_lines(hasher, texts)
     picked = fingerprints(owner, line)
     # A pair is known by its first line; two fingerprints side by side share one.
     first = np.zeros(len(line) + 1, bool)  # with a slot for the line before the first one
     first[picked - 1] = first[picked] = True
     pair = np.flatnonzero(first[:-2] & (owner[1:] == owner[:-1]))
+    long = np.flatnonzero(sizes >= MIN_WORDS)
     words = line.view(np.uint64)
-    hashes = mixed(mixed(words[pair] + GOLDEN) + words[pair + 1]).view(np.int64)
+    hashes = np.concatenate((mixed(mixed(words[pair] + GOLDEN) + words[pair + 1]), mixed(words[long] ^ GOLDEN))).view(np.int64)
+    start, end = np.concatenate((pair, long)), np.concatenate((pair + 1, long))
     columns = [
-        pa.array(hashes, pa.int64()), pa.array(places[owner[pair]], pa.int64()), pa.array(keys[owner[pair]], pa.int64()),
-        pa.array(at[pair], pa.int32()), pa.array(until[pair + 1], pa.int32())]
+        pa.array(hashes, pa.int64()), pa.array(places[owner[start]], pa.int64()), pa.array(keys[owner[start]], pa.int64()),
+        pa.array(at[start], pa.int32()), pa.array(until[end], pa.int32())]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in POSTS.split(", ")])
 
 

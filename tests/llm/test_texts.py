@@ -268,6 +268,13 @@ def test_passages_of_common_lines_go(spark):
     assert out == {**dict(alone), 10: passage, 11: "own words\nat the end"}
 
 
+def test_a_long_line_goes_by_itself(spark):
+    line, short = invented(60, 600), invented(0, 601, 19)
+    texts = [(1, f"{invented(0, 602, 9)}\n{line}\n{short}\nend"), (2, f"{invented(0, 603, 9)}\n{line}\nother\n{short}\nlast"), (3, line), (4, short)]
+    out = {r.row.doc_id: r.cut.text for r in lines.dedupe_lines(documents(spark, texts)).collect()}
+    assert out == {1: texts[0][1], 2: texts[1][1].replace(f"{line}\n", ""), 3: "", 4: short}
+
+
 def test_short_repeats_and_clean_texts_stay(spark):
     texts = [(n, f"Hello there. Good day.\n{invented(0, n, 40)}\nBye now.") for n in range(5)]
     assert sorted(r.text for r in lines.dedupe(documents(spark, texts)).collect()) == sorted(t for _, t in texts)
