@@ -2,19 +2,21 @@
 
 Text becomes pieces of a byte-pair vocabulary: symbols start as characters, and the
 neighbours whose joint piece has the best score merge first, the leftmost of equal
-ones. A keyed hash of the seed, the word, a variant number and the place of a
-candidate merge decides whether it is skipped, so that a document is segmented in
-one fixed, varied way per seed. Without dropout the pieces are those that the public
+ones. A keyed hash of the seed, the document, its copy number, the number of the word
+in it and the place of a candidate merge decides whether it is skipped, so that every
+occurrence of a word has draws of its own, fixed by the seed. Without dropout the pieces are those that the public
 SentencePiece library gives. Every text decodes exactly: characters outside the vocabulary, and the
 mark that stands for a space, are spelled in bytes.
 
-Words never share a merge, so each distinct (word, variant) of a stretch of text is
-worked out once, many at a time, as rows of a matrix of symbols; very long words use
-an agenda of their own.
+Words never share a merge, and what becomes of one depends only on its characters and
+on which of its candidate merges are skipped. Candidates are the parts of a word that
+are pieces; their draws are made for every occurrence, and each distinct (word, set of
+skipped candidates) of a stretch of text is worked out once, many at a time, as rows of
+a matrix of symbols; very long words use an agenda of their own.
 
 Defined cases: null gives null ids, an empty text none; texts of any length are
-encoded whole, in stretches; repeated rows are encoded alike (same id and text);
-documents with a null id share the variants of id 0; extra columns do no harm; an
+encoded whole, in stretches; repeated rows (same id and text) are numbered as copies
+and drawn for each; a null id has its own draws, by the text; extra columns do no harm; an
 empty table gives an empty result.
 """
 
@@ -28,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import in_small_batches, table
@@ -37,8 +39,8 @@ from shelfline.llm.textbytes import GOLDEN, mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
-VARIANTS = 4
 STRETCH = 1_500_000
+DRAWN = 50_000
 LONG_WORD = 48
 SLOTS = 18
 SPACE = "▁"
@@ -58,6 +60,9 @@ class Vocabulary:
     keys: np.ndarray          # 2 ** SLOTS: left * 2 ** 21 + right of a pair, or -1
     merged: np.ndarray        # the pair's piece
     rank: np.ndarray          # per piece: its place in the order of merges
+    parts: np.ndarray         # sorted hashes of the pieces that merges can make
+    part_ids: np.ndarray      # their pieces
+    part_sizes: np.ndarray    # the numbers of characters that such pieces have
 
     @property
     def size(self) -> int:
@@ -82,6 +87,14 @@ def slot_of(key: np.ndarray) -> np.ndarray:
     return ((key.astype(np.uint64) * GOLDEN) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
 
+def code_hashes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums over code points and the factors that make their differences independent of the place."""
+    odd = int(GOLDEN) | 1
+    powers = np.cumprod(np.full(len(code), odd, np.uint64))
+    back = np.cumprod(np.full(len(code), pow(odd, -1, 1 << 64), np.uint64))
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed((code.astype(np.uint64) + np.uint64(1)) * OTHER) * powers))), back
+
+
 def load_vocabulary(path: str = MODEL) -> Vocabulary:
     """Read a byte-pair model file with the public library, on the driver."""
     import sentencepiece
@@ -118,13 +131,20 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
         left = np.ones(len(rest), bool)
         left[taken] = False
         rest, into, slot = rest[left], into[left], (slot[left] + (keys[slot[left]] != rest[left])) & ((1 << SLOTS) - 1)
-    return Vocabulary(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), byte_ids, chars, keys, merged, rank)
+    made = sorted(set(pairs.values()))
+    spelled = [raw[n].decode() for n in made]
+    sums, back = code_hashes(np.frombuffer("".join(spelled).encode("utf-32-le"), np.uint32))
+    ends = np.cumsum([len(p) for p in spelled])
+    begin = ends - [len(p) for p in spelled]
+    parts = mixed((sums[ends] - sums[begin]) * back[begin])
+    order = np.argsort(parts)
+    return Vocabulary(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), byte_ids, chars, keys, merged, rank,
+                      parts[order], np.array(made, np.int64)[order], np.unique(ends - begin))
 
 
 class Encoder:
-    def __init__(self, words: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> None:
+    def __init__(self, words: Vocabulary, dropout: float = DROPOUT, seed: int = SEED) -> None:
         self.words, self.seed = words, np.uint64(seed)
-        self.variants = variants if dropout > 0 else 1
         self.skip_below = np.uint64(min(int(dropout * 2 ** 64), 2 ** 64 - 1))
 
     def skipped(self, row_key: np.ndarray, start: np.ndarray, into: np.ndarray) -> np.ndarray:
@@ -200,14 +220,49 @@ class Encoder:
                         heapq.heappush(agenda, (int(r[0]), x, y, int(p[0]), ids[x], ids[y]))
         return np.array([s for s, a in zip(ids, alive, strict=True) if a], np.int32)
 
-    def encode_words(self, words: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids one after another, where each word's ids start, with the end) of distinct words."""
+    def candidates(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, piece, where each word's begin, with the end) of the merges that words can make, in any order of merges."""
+        code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        ends = np.cumsum([len(w) for w in words])
+        begin = np.concatenate(([0], ends[:-1]))
+        owner = np.repeat(np.arange(len(words)), ends - begin)
+        sums, back = code_hashes(code)
+        places, made = [np.zeros(0, int)], [np.zeros(0, np.int64)]
+        for size in self.words.part_sizes.tolist():
+            at = np.arange(max(len(code) - size + 1, 0))
+            at = at[at + size <= ends[owner[at]]]
+            part = mixed((sums[at + size] - sums[at]) * back[at])
+            slot = np.minimum(np.searchsorted(self.words.parts, part), len(self.words.parts) - 1)
+            hit = self.words.parts[slot] == part
+            places.append(at[hit])
+            made.append(self.words.part_ids[slot[hit]])
+        place, into = np.concatenate(places), np.concatenate(made)
+        order = np.argsort(owner[place], kind="stable")
+        place, into = place[order], into[order]
+        word = owner[place]
+        return place - begin[word], into, np.searchsorted(word, np.arange(len(words) + 1))
+
+    def outcomes(self, words: list[str], code: np.ndarray, row_key: np.ndarray) -> np.ndarray:
+        """Of each occurrence of a word, a hash of the set of its skipped candidates; 0 if there are none."""
+        found = np.zeros(len(code), np.uint64)
+        if not self.skip_below:
+            return found
+        start, into, first = self.candidates(words)
+        for n in range(0, len(code), DRAWN):
+            part = code[n:n + DRAWN]
+            many = first[part + 1] - first[part]
+            ends = np.cumsum(many)
+            at = np.arange(ends[-1]) + np.repeat(first[part] - (ends - many), many)
+            skipped = np.flatnonzero(self.skipped(np.repeat(row_key[n:n + DRAWN], many), start[at], into[at]))
+            marks = mixed((start[at[skipped]].astype(np.uint64) + np.uint64(1)) * GOLDEN + into[at[skipped]].astype(np.uint64) * OTHER)
+            np.add.at(found, n + np.searchsorted(ends, skipped, side="right"), marks)
+        return found
+
+    def encode_words(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids one after another, where each word's ids start, with the end) of words and the keys of their draws."""
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         sizes = np.array([len(w) for w in words])
         begin = np.concatenate(([0], np.cumsum(sizes)))
-        within = np.arange(len(code)) - np.repeat(begin[:-1], sizes)
-        content = np.add.reduceat(mixed((code.astype(np.uint64) + np.uint64(1)) * OTHER + within.astype(np.uint64) * GOLDEN), begin[:-1])
-        keys = mixed(content + mixed((self.seed * np.uint64(self.variants) + variant.astype(np.uint64)) * GOLDEN))
         symbols = self.words.chars[code]
         left = np.zeros(len(words), int)
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -263,9 +318,10 @@ class Encoder:
         code, distinct = pd.factorize(np.array(words, dtype=object))
         keys = np.repeat(np.array([k for k, _ in texts], np.int64).astype(np.uint64), counts)
         number = (np.arange(len(words)) - np.repeat(ends[:-1], counts)).astype(np.uint64)
-        variant = (mixed(keys * GOLDEN + number * OTHER + self.seed) % np.uint64(self.variants)).astype(np.int64)
-        pair, of_word = np.unique(code * self.variants + variant, return_inverse=True)
-        ids, starts = self.encode_words(distinct[pair // self.variants].tolist(), pair % self.variants)
+        row_key = mixed(mixed(keys * GOLDEN + self.seed) + number * OTHER)
+        kinds, outcome = np.unique(self.outcomes(distinct.tolist(), code, row_key), return_inverse=True)
+        _, sample, of_word = np.unique(code * len(kinds) + outcome, return_index=True, return_inverse=True)
+        ids, starts = self.encode_words(distinct[code[sample]].tolist(), row_key[sample])
         sizes = np.diff(starts)[of_word]
         places = np.concatenate(([0], np.cumsum(sizes)))
         out = ids[np.repeat(starts[of_word] - places[:-1], sizes) + np.arange(places[-1])]
@@ -285,9 +341,9 @@ class Encoder:
         return np.concatenate(found) if found else np.zeros(0, np.int32)
 
     def batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(doc_id, text) to doc_id, ids and whether they decode to the text."""
+        """(doc_id, draw, text) to doc_id, ids and whether they decode to the text; ``draw`` keys the draws."""
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, draws = batch.column("doc_id").to_pylist(), batch.column("draw").to_pylist()
             group: list[tuple[int, int, str]] = []
             size = 0
             for n, value in enumerate(batch.column("text")):
@@ -295,7 +351,7 @@ class Encoder:
                 if size + len(text or "") > STRETCH and group:
                     yield self.rows(ids, group)
                     group, size = [], 0
-                group.append((n, (ids[n] or 0) & ((1 << 62) - 1), text))
+                group.append((n, draws[n] & ((1 << 62) - 1), text))
                 size += len(text or "")
             if group:
                 yield self.rows(ids, group)
@@ -341,7 +397,10 @@ def stretches(text: str) -> Iterator[str]:
 def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id, ids and lossless per document. The vocabulary is read once and travels with the job."""
     encoder = Encoder(load_vocabulary(model), dropout, seed)
-    return in_small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+    copy = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("text_key"))
+    draw = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_key")), copy)
+    return in_small_batches(keyed.select("doc_id", draw.alias("draw"), "text")).mapInArrow(
         encoder.batches, "doc_id long, ids array<int>, lossless boolean")
 
 

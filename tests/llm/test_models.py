@@ -173,6 +173,25 @@ def test_seeds_vary_the_pieces_and_long_words_take_the_same_merges(vocabulary, m
     assert encoder.encode_text(text).tolist() == rows_
 
 
+def test_every_occurrence_and_copy_is_drawn_by_itself(spark, vocabulary):
+    word = " counterrevolutionary"
+    encoder = pieces.Encoder(vocabulary, 0.2)
+    text = (word * 500)[1:]
+    ids, ends = encoder.encode([(3, " " + text)])
+    found, spelled = set(), []
+    for n in ids.tolist():
+        spelled.append(n)
+        if encoder.decode_bytes(np.array(spelled)).decode() == word:
+            found.add(tuple(spelled))
+            spelled = []
+    assert not spelled and len(found) > 50
+    # Shared outcomes are those of words drawn alone, each by its own key.
+    keys = pieces.mixed(pieces.mixed(np.full(500, 3, np.uint64) * pieces.GOLDEN + encoder.seed) + np.arange(500, dtype=np.uint64) * pieces.OTHER)
+    assert encoder.encode_words([word] * 500, keys)[0].tolist() == ids.tolist()
+    docs = spark.createDataFrame([(1, text), (1, text), (1, text), (2, text)], "doc_id long, text string")
+    assert len({tuple(r.ids) for r in pieces.encode_documents(docs).collect()}) == 4
+
+
 def test_documents_are_encoded_and_decoded(spark):
     texts = [(n, t, "x") for n, t in enumerate(TEXTS)] + [(50, None, "x"), (None, "no id", "x"), (0, TEXTS[0], "x")]
     docs = spark.createDataFrame(texts, "doc_id long, text string, ids string")
