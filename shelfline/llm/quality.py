@@ -59,7 +59,9 @@ class Network:
         """The filters' largest responses over a whole text, at least 0; long texts go piece by piece."""
         most = np.zeros(FILTERS, np.float32)
         for start in range(0, len(text), PIECE):
-            most = np.maximum(most, self.responses(in_blocks(text[start:start + PIECE + STEP])).max(axis=0))
+            found = self.responses(in_blocks(text[start:start + PIECE + STEP]))
+            # Zeros follow the text's end only; inside the text the next piece has that chunk.
+            most = np.maximum(most, (found if start + PIECE >= len(text) else found[:-1]).max(axis=0))
         return most
 
     def score(self, texts: list[bytes]) -> np.ndarray:

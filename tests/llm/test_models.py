@@ -80,6 +80,24 @@ def test_quality_is_learnt_and_long_texts_are_scored_whole(spark, monkeypatch):
     assert 0 <= quality.train([]).score([b"a"])[0] <= 1 and quality.train([("a", 1)]).score([b""])[0] > 0.9
 
 
+def test_pieces_of_a_long_text_have_no_end_inside(monkeypatch):
+    draw = np.random.default_rng(6)
+    net = quality.Network(np.ones((256, quality.WIDTH), np.float32), np.zeros((2, quality.STEP * quality.WIDTH, quality.FILTERS), np.float32),
+                          np.zeros(quality.FILTERS, np.float32), np.ones(quality.FILTERS, np.float32), np.zeros(1, np.float32))
+    net.codes[0] = -1
+    net.filters[1] = -1  # answers to zeros after the text, and by the next line to what is before them
+    net.filters[0] = draw.normal(0, 1, net.filters[0].shape)
+    net.codes[1:] = draw.normal(1, 0.2, (255, quality.WIDTH))
+    for size in (4096, 4099, 4103, 4104, 4105):
+        text = bytes(draw.integers(32, 127, size).astype(np.uint8))
+        monkeypatch.setattr(quality, "PIECE", 1 << 19)
+        blocks = quality.in_blocks(text)
+        whole = net.pooled(text)
+        assert np.allclose(whole, np.maximum(net.responses(blocks).max(axis=0), 0))
+        monkeypatch.setattr(quality, "PIECE", 1024)
+        assert np.allclose(net.pooled(text), whole)
+
+
 def test_quality_and_toxicity_hold_out_their_folds(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     for query, label, wanted in ((quality.op5_quality, "quality", 0.85), (toxicity.op9_toxicity, "toxic", 0.9)):
