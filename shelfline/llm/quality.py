@@ -3,8 +3,8 @@
 Bytes are embedded; filters look at chunks of 16 bytes that start every 8 bytes and
 so cover the whole text twice; each filter's largest response over the text is kept,
 and a logistic layer combines them into one probability. The network is trained on
-the driver from a bounded sample of labelled rows; texts of any length are scored
-whole, in pieces of fixed size.
+the driver from the whole texts of a bounded sample of labelled rows; texts of any
+length are trained on and scored whole, in pieces of fixed size.
 
 Defined cases: null and empty texts score like a text without chunks; documents
 without a label are scored like others; repeated rows get equal scores; labels
@@ -27,7 +27,6 @@ from shelfline.llm.common import in_small_batches, table
 from shelfline.llm.samples import fold, labelled_sample
 
 SAMPLE_ROWS = 3000
-SAMPLE_CHARS = 12_000
 FOLDS, HELD_OUT = 4, 2
 GOOD = 0.7
 STEP = 8
@@ -55,14 +54,20 @@ class Network:
         rows = self.codes[blocks].reshape(len(blocks), -1)
         return rows[:-1] @ self.filters[0] + rows[1:] @ self.filters[1] + self.shift
 
+    def peaks(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(chunk, value) of each filter's first largest response over the rows of a text; long texts go piece by piece."""
+        at, most, rows = np.zeros(FILTERS, int), np.full(FILTERS, -np.inf, np.float32), PIECE // STEP
+        for start in range(0, len(blocks) - 1, rows):
+            # Neighbouring pieces share a row, so that every chunk is in one piece.
+            found = self.responses(blocks[start:start + rows + 1])
+            here = found.argmax(axis=0)
+            value = found[here, np.arange(FILTERS)]
+            at, most = np.where(value > most, here + start, at), np.maximum(most, value)
+        return at, most
+
     def pooled(self, text: bytes) -> np.ndarray:
-        """The filters' largest responses over a whole text, at least 0; long texts go piece by piece."""
-        most = np.zeros(FILTERS, np.float32)
-        for start in range(0, len(text), PIECE):
-            found = self.responses(in_blocks(text[start:start + PIECE + STEP]))
-            # Zeros follow the text's end only; inside the text the next piece has that chunk.
-            most = np.maximum(most, (found if start + PIECE >= len(text) else found[:-1]).max(axis=0))
-        return most
+        """The filters' largest responses over a whole text, at least 0."""
+        return np.maximum(self.peaks(in_blocks(text))[1], 0)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """One probability per text; short texts share a pass over their blocks."""
@@ -141,9 +146,8 @@ def gradient(net: Network, blocks: np.ndarray, goal: float, grads: list[np.ndarr
     if len(blocks) < 2:
         grads[4] += sigmoid(net.bias).astype(np.float32) - goal
         return
-    found = net.responses(blocks)
-    at = found.argmax(axis=0)
-    most = np.maximum(found[at, np.arange(FILTERS)], 0)
+    at, most = net.peaks(blocks)
+    most = np.maximum(most, 0)
     error = float(sigmoid(most @ net.weights + net.bias)[0]) - goal
     grads[3] += error * most + 1e-4 * net.weights
     grads[4] += error
@@ -179,7 +183,7 @@ def scores(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray]) -> DataF
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> Network:
-    return train(labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT, SAMPLE_ROWS, SAMPLE_CHARS))
+    return train(labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT, SAMPLE_ROWS))
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:

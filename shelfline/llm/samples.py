@@ -18,18 +18,15 @@ def picked_labels(labels: DataFrame, label: str, folds: int, held_out: int, rows
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
-                    rows: int, chars: int) -> list[tuple[str, int]]:
+                    rows: int) -> list[tuple[str, int]]:
     """At most ``rows`` (text, label) of documents outside the held-out fold, for the driver.
 
     The rows with the least hashes of their ids are taken, so the sample does not
-    depend on the layout. A text longer than ``chars`` gives a stretch of that length
-    that starts at a place set by its id; this bounds what the driver holds.
+    depend on the layout. Texts are whole, so the driver holds ``rows`` texts of whatever length.
     """
     picked = picked_labels(labels, label, folds, held_out, rows)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length(text) - chars, F.lit(0)) + 1).cast("int") + 1
     # The picked ids are at most ``rows``: a side of known size.
-    found = docs.select("doc_id", F.substring(text, start, F.lit(chars)).alias("text"), F.xxhash64("text").alias("key")).join(
+    found = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.xxhash64("text").alias("key")).join(
         F.broadcast(picked), F.col("doc_id") == F.col("id_"))
     one = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "label"), "key").alias("s"))
     return [(r.text, int(r.label)) for r in one.orderBy("doc_id").select("s.text", "s.label").collect()]

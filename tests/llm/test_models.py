@@ -80,6 +80,19 @@ def test_quality_is_learnt_and_long_texts_are_scored_whole(spark, monkeypatch):
     assert 0 <= quality.train([]).score([b"a"])[0] <= 1 and quality.train([("a", 1)]).score([b""])[0] > 0.9
 
 
+def test_labelled_texts_are_learnt_whole(spark, monkeypatch):
+    text = "plain words " * 20_000 + "the passage"
+    docs = spark.createDataFrame([(n, text) for n in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, 0, 1) for n in range(8)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "train", seen.extend)
+    quality.fit_quality(docs, labels)
+    assert seen and all(pair == (text, 0) for pair in seen)
+    features, _, goal = toxicity.marked_sample(docs, labels)
+    last = toxicity.word_list(toxicity.WordHasher(toxicity.is_no_letter()), "passage")
+    assert len(goal) and all(len(toxicity.positions(f, last)) == 1 for f in features)
+
+
 def test_pieces_of_a_long_text_have_no_end_inside(monkeypatch):
     draw = np.random.default_rng(6)
     net = quality.Network(np.ones((256, quality.WIDTH), np.float32), np.zeros((2, quality.STEP * quality.WIDTH, quality.FILTERS), np.float32),
