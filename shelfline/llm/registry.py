@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import embeddings, fingerprints, licenses, lines, mixing, neardups, pieces, quality, sharding, toxicity
+from shelfline.llm import (
+    embeddings, fingerprints, licenses, lines, mixing, neardups, periods, pieces, quality, sharding, suffixes, toxicity, tries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +24,11 @@ def llm_queries() -> dict[str, Query]:
         "op8_licenses": licenses.op8_licenses,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_minhash": neardups.op10_minhash,
+        "op11_suffixes": suffixes.op11_suffixes,
+        "op12_tries": tries.op12_tries,
+        "op13_periods": periods.op13_periods,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mixing": mixing.OP1_SQL}
+    return {"op1_mixing": mixing.OP1_SQL, "op12_tries": tries.OP12_SQL}
