@@ -7,11 +7,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions.exact import exact_mean, exact_sum
 from shelfline.functions.quantile import exact_quantile
 from shelfline.functions.scalars import mean_of, no_value
 from shelfline.functions.weeks import WEEK_KEYS, week_columns, week_number
 from shelfline.operators.keyed import spread_join
 
+# The columns that tell ticket lines apart.
 TICKET_LINE_KEYS = [
     "store", "checkout_number", "ticket_number", "sell_date", "ticket_time",
     "transaction_type", "item", "purchase_price", "num_acp", "num_cde",
@@ -94,9 +96,9 @@ def agg_day_store_item(tickets: DataFrame, stores: list[int] | None = None,
     keys = ["sell_date", "store", "item"]
     per_day = lines.groupBy(*keys, *(["item_qty_raw"] if split_by_raw_qty else [])).agg(
         F.count(F.lit(1)).alias("tickets_qty"),
-        F.sum("total_cost").alias("total_cost"),
-        F.sum("item_qty_processed").alias("item_qty"),
-        F.sum("item_qty_raw").alias("raw_qty"),
+        exact_sum(F.col("total_cost")).alias("total_cost"),
+        exact_sum(F.col("item_qty_processed")).alias("item_qty"),
+        exact_sum(F.col("item_qty_raw")).alias("raw_qty"),
     )
     price = F.bround(mean_of(F.col("total_cost"), F.col("raw_qty")))
     return per_day.select(*keys, "tickets_qty", "total_cost", "item_qty", price.alias("purchase_price"))
@@ -122,9 +124,9 @@ def first_sale_date(sources: list[DataFrame], sentinel: dt.date | None = None,
 def agg_week_store_item(daily: DataFrame) -> DataFrame:
     """Weekly quantity, mean daily quantity and mean price per store and item."""
     return daily.groupBy(*week_columns(F.col("sell_date")), "store", "item").agg(
-        F.sum("item_qty").alias("item_qty"),
-        F.avg("item_qty").alias("avg_item_qty"),
-        F.avg("purchase_price").alias("avg_purchase_price"),
+        exact_sum(F.col("item_qty")).alias("item_qty"),
+        exact_mean(F.col("item_qty")).alias("avg_item_qty"),
+        exact_mean(F.col("purchase_price")).alias("avg_purchase_price"),
     )
 
 
@@ -145,9 +147,9 @@ def agg_stock_by_store(stock: DataFrame, stores: list[int] | None = None) -> Dat
         qty.alias("qty"), F.when(qty == 0, 1).otherwise(0).alias("empty"),
     )
     return days.groupBy("week_num", "store", "item").agg(
-        F.avg("qty").alias("avg_week_qty_by_store"),
+        exact_mean(F.col("qty")).alias("avg_week_qty_by_store"),
         F.max("qty").alias("max_week_qty_by_store"),
-        F.sum("qty").alias("sum_week_qty"),
+        exact_sum(F.col("qty")).alias("sum_week_qty"),
         F.count("qty").alias("cnt_days_in_week"),
         F.sum("empty").alias("zero_qty_cnt_by_store"),
         F.when(F.count("qty") == F.sum("empty"), 1).otherwise(0).alias("is_zero_qty_week"),
@@ -158,9 +160,9 @@ def agg_stock_by_store(stock: DataFrame, stores: list[int] | None = None) -> Dat
 def agg_stock_by_week(by_store: DataFrame) -> DataFrame:
     """Weekly stock of an item over its stores, mean weighted by days."""
     return by_store.groupBy("week_num", "item").agg(
-        mean_of(F.sum("sum_week_qty"), F.sum("cnt_days_in_week")).alias("avg_qty_by_week"),
-        F.sum("avg_week_qty_by_store").alias("sum_avg_week_qty_by_store"),
-        F.sum("max_week_qty_by_store").alias("sum_max_week_qty_by_store"),
+        mean_of(exact_sum(F.col("sum_week_qty")), F.sum("cnt_days_in_week")).alias("avg_qty_by_week"),
+        exact_sum(F.col("avg_week_qty_by_store")).alias("sum_avg_week_qty_by_store"),
+        exact_sum(F.col("max_week_qty_by_store")).alias("sum_max_week_qty_by_store"),
         F.sum("is_zero_qty_week_part").alias("num_zero_stock_week_part"),
         F.sum("is_zero_qty_week").alias("num_zero_stock_week_all"),
     )
@@ -169,8 +171,8 @@ def agg_stock_by_week(by_store: DataFrame) -> DataFrame:
 def sum_tickets_by_week(by_store: DataFrame) -> DataFrame:
     """Weekly quantity and mean price of an item over its stores."""
     return by_store.groupBy(*WEEK_KEYS, "item", "dept_class_subclass", "model").agg(
-        F.sum("week_item_qty").alias("sum_item_qty"),
-        mean_of(F.sum("sum_purchase_price"), F.sum("count_tickets")).alias("avg_purchase_price"),
+        exact_sum(F.col("week_item_qty")).alias("sum_item_qty"),
+        mean_of(exact_sum(F.col("sum_purchase_price")), F.sum("count_tickets")).alias("avg_purchase_price"),
     )
 
 

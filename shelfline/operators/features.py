@@ -55,26 +55,38 @@ def year_offsets(left: int, right: int) -> list[tuple[str, int]]:
 
 
 def _timelines(weekly: DataFrame, keys: list[str], measures: list[Measure], extra: list[str]) -> DataFrame:
-    """Per key its weekly rows in order (``_rows``) and one entry per week from the first to the last (``_line``).
+    """Per key its rows in order (``_rows``) and one entry per week from the first to the last (``_line``).
 
-    A key has at most one row per calendar week, which bounds both arrays. Weeks
-    without a row are null entries, so a week's entry is found by its distance
-    from the first week.
+    An entry holds the sums of its week's rows; weeks without a row are null
+    entries, so a week's entry is found by its distance from the first week. Rows
+    of a week are added up only for keys that have several in some week, in the
+    order of their values.
     """
-    taken = ["week_num", "year", "week", *extra, *[m.column for m in measures]]
+    columns = [m.column for m in measures]
+    taken = ["week_num", "year", "week", *extra, *columns]
     grouped = weekly.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys(taken)))).alias("_rows"))
-    gap = "array_repeat(nullif(e, e), coalesce(get(_rows, i + 1).week_num - e.week_num - 1, 0))"
+    sums = ", ".join(
+        f"aggregate(filter(_rows, r -> r.week_num = w), CAST(NULL AS DOUBLE), (s, r) -> coalesce(s + r.{c}, s, r.{c})) AS {c}"
+        for c in columns)
+    own = ", ".join(f"CAST(e.{c} AS DOUBLE) AS {c}" for c in columns)
+    gap = "array_repeat(nullif(e, e), coalesce(get(_weeks, i + 1).week_num - e.week_num - 1, 0))"
     return grouped.selectExpr(
-        *keys, "_rows", "_rows[0].week_num AS _first", f"flatten(transform(_rows, (e, i) -> concat(array(e), {gap}))) AS _line")
-
-
-def _features(weekly: DataFrame, calendar: DataFrame | None, keys: list[str], measures: list[Measure],
-              week_distances: list[tuple[str, int]], year_distances: list[tuple[str, int]]) -> DataFrame:
-    """Rows with looked-up measures of other weeks; ``_found`` tells of entries around last year's week.
-
-    One shuffle by key: every distance is an element of the key's own timeline,
-    so neither windows over the weeks nor a join of wide rows is needed. SQL text
-    keeps building a few hundred columns cheap on the driver.
+        *keys, "_rows", "_rows[0].week_num AS _first",
+        "array_distinct(transform(_rows, r -> r.week_num)) AS _nums",
+    ).selectExpr(
+        *keys, "_rows", "_first",
+        f"if(size(_nums) = size(_rows), transform(_rows, e -> struct(e.week_num AS week_num, {own})), "
+        f"transform(_nums, w -> struct(w AS week_num, {sums}))) AS _weeks",
+    ).selectExpr(*keys, "_rows", "_first", f"flatten(transform(_weeks, (e, i) -> concat(array(e), {gap}))) AS _line")
+
+
+def _slices(weekly: DataFrame, calendar: DataFrame | None, keys: list[str], measures: list[Measure],
+            week_distances: list[tuple[str, int]], year_distances: list[tuple[str, int]]) -> DataFrame:
+    """Rows with the entries around their week (``_w``) and around last year's matching week (``_y``).
+
+    One shuffle by key: every distance is an element of the key's own timeline, so
+    neither windows over the weeks nor a join of wide rows is needed. A slice
+    begins ``_w_skip`` or ``_y_skip`` entries late where the timeline begins later.
     """
     rows = weekly
     if calendar is not None:
@@ -82,33 +94,71 @@ def _features(weekly: DataFrame, calendar: DataFrame | None, keys: list[str], me
         rows = weekly.join(F.broadcast(calendar.select("week_num", "prev_week_num")), "week_num", "left")
     lines = _timelines(rows, keys, measures, [] if calendar is None else ["prev_week_num"])
     fields = [f"e.{c} AS {c}" for c in dict.fromkeys([*WEEK_KEYS, *[m.column for m in measures]])]
-    fields += [f"get(_line, e.week_num - _first + {d}).{m.column} AS {m.week}_{x}" for x, d in week_distances for m in measures]
-    if year_distances:
-        at = "e.prev_week_num - _first"
-        fields += [f"get(_line, {at} + {d}).{m.column} AS {m.year}_{x}" for x, d in year_distances for m in measures]
-        fields.append("coalesce(" + " OR ".join(
-            f"get(_line, {at} + {d}) IS NOT NULL" for _, d in year_distances) + ", false) AS _found")
+    for name, week, distances in (("_w", "e.week_num", week_distances), ("_y", "e.prev_week_num", year_distances)):
+        if distances:
+            low, high = _span(distances)
+            start = f"{week} - _first + {low}"
+            fields += [f"slice(_line, greatest({start}, 0) + 1, greatest({high - low + 1} + least({start}, 0), 0)) AS {name}",
+                       f"greatest(-({start}), 0) AS {name}_skip"]
     return lines.selectExpr(*keys, f"inline(transform(_rows, e -> struct({', '.join(fields)})))")
 
 
-def _feature_names(measures: list[Measure], offsets: list[tuple[str, int]], yearly: bool) -> list[str]:
-    return [f"{m.year if yearly else m.week}_{x}" for x, _ in offsets for m in measures]
+def _span(distances: list[tuple[str, int]]) -> tuple[int, int]:
+    """The least and the greatest distance, this week's included."""
+    return min(0, *[d for _, d in distances]), max(0, *[d for _, d in distances])
+
+
+def _looked_up(measures: list[Measure], week_distances: list[tuple[str, int]], year_distances: list[tuple[str, int]]) -> list[str]:
+    """The features as elements of the slices, as SQL text, which keeps building a few hundred columns cheap on the driver."""
+    out = []
+    if week_distances:
+        low, _ = _span(week_distances)
+        out += [f"get(_w, {d - low} - _w_skip).{m.column} AS {m.week}_{x}" for x, d in week_distances for m in measures]
+    if year_distances:
+        low, _ = _span(year_distances)
+        out += [f"get(_y, {d - low} - _y_skip).{m.column} AS {m.year}_{x}" for x, d in year_distances for m in measures]
+    return out
 
 
 def offset_features(weekly: DataFrame, keys: list[str], measures: list[Measure], reach: Reach) -> DataFrame:
     """Every measure of the same key at each week distance within reach."""
     distances = week_offsets(reach.left, reach.right)
-    return _features(weekly, None, keys, measures, distances, []).select(
-        *WEEK_KEYS, *keys, *[m.column for m in measures], *_feature_names(measures, distances, False))
+    return _slices(weekly, None, keys, measures, distances, []).selectExpr(
+        *WEEK_KEYS, *keys, *[m.column for m in measures], *_looked_up(measures, distances, []))
 
 
 def week_and_year_features(weekly: DataFrame, calendar: DataFrame, keys: list[str], measures: list[Measure],
                            reach: Reach) -> DataFrame:
     """Same-year and prior-year features of every row, in one pass over each key's weeks."""
     weeks, years = week_offsets(reach.left, reach.right), year_offsets(reach.year_left, reach.year_right)
-    return _features(weekly, calendar, keys, measures, weeks, years).select(
-        *WEEK_KEYS, *keys, *[m.column for m in measures],
-        *_feature_names(measures, weeks, False), *_feature_names(measures, years, True))
+    return _slices(weekly, calendar, keys, measures, weeks, years).selectExpr(
+        *WEEK_KEYS, *keys, *[m.column for m in measures], *_looked_up(measures, weeks, years))
+
+
+def masked_features(weekly: DataFrame, calendar: DataFrame, exceptions: DataFrame, keys: list[str],
+                    measures: list[Measure], reach: Reach) -> DataFrame:
+    """``week_and_year_features`` masked like ``mask_exceptions``, before they are spread over columns.
+
+    What is hidden depends on the distance alone: the entries of the slices are
+    blanked, one for all measures, and only then looked up.
+    """
+    weeks, years = week_offsets(reach.left, reach.right), year_offsets(reach.year_left, reach.year_right)
+    spans = _exception_spans(exceptions, reach)
+    hides = []
+    for name, distances in (("_w", weeks), ("_y", years)):
+        low, high = _span(distances)
+        known = {d: f"hide_{x}" for x, d in distances}
+        hides.append(f"array({', '.join(known.get(d, 'false') for d in range(low, high + 1))}) AS {name}_hide")
+    # Both sides are made of the exceptions, of which there is at most one per calendar week.
+    near = F.broadcast(spans.selectExpr("year", "week_num", *hides))
+    dropped = F.broadcast(exceptions.select("week_num").distinct())
+    rows = weekly.select(*dict.fromkeys([*WEEK_KEYS, *keys, *[m.column for m in measures]]))
+    sliced = _slices(rows, calendar, keys, measures, weeks, years).join(dropped, "week_num", "left_anti").join(
+        near, ["year", "week_num"], "left")
+    blanked = [f"if({n}_hide IS NULL, {n}, transform({n}, (e, k) -> if(get({n}_hide, k + {n}_skip), NULL, e))) AS {n}" for n in ("_w", "_y")]
+    return sliced.selectExpr(
+        *WEEK_KEYS, *keys, *[m.column for m in measures], "_w_skip", "_y_skip", *blanked,
+    ).selectExpr(*WEEK_KEYS, *keys, *[m.column for m in measures], *_looked_up(measures, weeks, years))
 
 
 def week_calendar(weekly: DataFrame) -> DataFrame:
@@ -132,8 +182,8 @@ def prior_year_features(weekly: DataFrame, calendar: DataFrame, keys: list[str],
     Rows with nothing in reach a year before are left out.
     """
     distances = year_offsets(reach.year_left, reach.year_right)
-    return _features(weekly, calendar, keys, measures, [], distances).where("_found").select(
-        *WEEK_KEYS, *keys, *_feature_names(measures, distances, True))
+    return _slices(weekly, calendar, keys, measures, [], distances).where("exists(_y, e -> e IS NOT NULL)").selectExpr(
+        *WEEK_KEYS, *keys, *_looked_up(measures, [], distances))
 
 
 def combine_features(by_week: DataFrame, by_year: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.exact import exact_mean, exact_sum
 from shelfline.functions.scalars import key_prefix, mean_of, natural_key
 from shelfline.functions.weeks import WEEK_KEYS, week_columns
 from shelfline.operators.aggregates import scale_by_max
@@ -34,8 +35,8 @@ def agg_tickets_by_store(daily: DataFrame, item_dates: DataFrame, attributes: Da
     weekly = (
         spread_join(daily, stops, "item").where(still_sold)
         .groupBy(*week_columns(F.col("sell_date")), "store", "item").agg(
-            F.sum("item_qty").alias("week_item_qty"),
-            F.sum("purchase_price").alias("sum_purchase_price"),
+            exact_sum(F.col("item_qty")).alias("week_item_qty"),
+            exact_sum(F.col("purchase_price")).alias("sum_purchase_price"),
             F.count("item_qty").alias("count_tickets"),
         )
     )
@@ -58,7 +59,7 @@ def avg_scaled_with_stock(tickets: DataFrame, stock: DataFrame) -> DataFrame:
     return (
         scaled.join(stocked, keys, "left")
         .groupBy(*WEEK_KEYS, "item", "dept_class_subclass", "model")
-        .agg(F.avg(F.when(F.col("stocked"), F.col("scaled"))).alias("avg_item_qty_scaled_with_stock"))
+        .agg(exact_mean(F.when(F.col("stocked"), F.col("scaled"))).alias("avg_item_qty_scaled_with_stock"))
     )
 
 
@@ -78,7 +79,7 @@ def avg_by_level(weekly: DataFrame, level: str) -> DataFrame:
     """Weekly mean of the scaled quantity over the items of a class, subclass or model."""
     name, key = LEVELS[level]
     return weekly.groupBy(*WEEK_KEYS, key().alias(name)).agg(
-        F.avg("avg_item_qty_scaled_with_stock").alias(f"avg_item_qty_by_{level}"))
+        exact_mean(F.col("avg_item_qty_scaled_with_stock")).alias(f"avg_item_qty_by_{level}"))
 
 
 def scale_level(averages: DataFrame, level: str) -> DataFrame:

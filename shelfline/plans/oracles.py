@@ -26,6 +26,17 @@ def r(*columns: str) -> str:
     return ", ".join(f"round({c}, 6) AS {c.split('.')[-1]}" for c in columns)
 
 
+def exact_sum(value: str) -> str:
+    """A sum whose bits do not depend on the order of addition: whole multiples of 2 ** -20, and the rest of 2 ** -63."""
+    scaled = f"({value}) * 1048576.0::DOUBLE"
+    return (f"(CAST(sum(CAST(floor({scaled}) AS BIGINT)) AS DOUBLE) / 1048576.0::DOUBLE + CAST(sum(CAST(floor(({scaled} - floor({scaled})) "
+            "* 8796093022208.0::DOUBLE) AS BIGINT)) AS DOUBLE) / 9223372036854775808.0::DOUBLE)")
+
+
+def exact_mean(value: str) -> str:
+    return f"{exact_sum(value)} / count({value})"
+
+
 LEVEL_COLUMNS = [f"avg_item_qty_by_{level}_scaled" for level in ("class", "subclass", "model")]
 
 # Named subqueries; each may use the others.
@@ -34,9 +45,10 @@ PARTS: dict[str, str] = {
         SELECT CAST(l_suppkey % 10 AS INTEGER) AS store, l_partkey AS item, CAST(l_shipdate AS DATE) AS sell_date,
                l_quantity AS item_qty, l_extendedprice AS total_cost, l_returnflag = 'R' AS online
         FROM lineitem""",
-    "daily": """
-        SELECT sell_date, store, item, count(*) AS tickets_qty, sum(total_cost) AS total_cost,
-               sum(item_qty) AS item_qty, round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
+    "daily": f"""
+        SELECT sell_date, store, item, count(*) AS tickets_qty, {exact_sum('total_cost')} AS total_cost,
+               sum(item_qty) AS item_qty,
+               round_even({exact_sum('total_cost')} / nullif(sum(item_qty), 0), 0) AS purchase_price
         FROM tickets WHERE CAST(item AS VARCHAR) NOT LIKE '49%' GROUP BY ALL""",
     "o": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
     "orders_new": "SELECT * FROM o WHERE o_orderdate >= DATE '2000-01-01'",
@@ -103,10 +115,10 @@ PARTS: dict[str, str] = {
               WHERE p_size <= 45 OR sell_date < DATE '1999-01-01' - 14
               GROUP BY ALL) s
         LEFT JOIN attrs USING (item)""",
-    "scaled": """
+    "scaled": f"""
         WITH tops AS (SELECT store, item, max(week_item_qty) AS top FROM store_weeks GROUP BY ALL)
         SELECT t.year, t.week, t.week_num, t.item, t.dept_class_subclass, t.model,
-               avg(CASE WHEN s.item IS NULL THEN NULL WHEN top = 0 THEN 0 ELSE week_item_qty / top END)
+               {exact_mean("CASE WHEN s.item IS NULL THEN NULL WHEN top = 0 THEN 0.0::DOUBLE ELSE week_item_qty / top END")}
                    AS avg_item_qty_scaled_with_stock
         FROM store_weeks t JOIN tops USING (store, item)
         LEFT JOIN stock s
@@ -116,16 +128,16 @@ PARTS: dict[str, str] = {
         SELECT year, week, week_num, item, dept_class_subclass, model, sum(week_item_qty) AS sum_item_qty,
                sum(sum_purchase_price) / sum(count_tickets) AS avg_purchase_price
         FROM store_weeks GROUP BY ALL""",
-    "by_class": """
+    "by_class": f"""
         SELECT year, week, week_num, regexp_extract(dept_class_subclass, '^[^|]*[|][^|]*') AS dept_class,
-               avg(avg_item_qty_scaled_with_stock) AS avg_item_qty_by_class
+               {exact_mean('avg_item_qty_scaled_with_stock')} AS avg_item_qty_by_class
         FROM scaled GROUP BY ALL""",
-    "by_subclass": """
+    "by_subclass": f"""
         SELECT year, week, week_num, dept_class_subclass,
-               avg(avg_item_qty_scaled_with_stock) AS avg_item_qty_by_subclass
+               {exact_mean('avg_item_qty_scaled_with_stock')} AS avg_item_qty_by_subclass
         FROM scaled GROUP BY ALL""",
-    "by_model": """
-        SELECT year, week, week_num, model, avg(avg_item_qty_scaled_with_stock) AS avg_item_qty_by_model
+    "by_model": f"""
+        SELECT year, week, week_num, model, {exact_mean('avg_item_qty_scaled_with_stock')} AS avg_item_qty_by_model
         FROM scaled GROUP BY ALL""",
     "levels": """
         SELECT week_num, 'class' AS level, dept_class AS name, avg_item_qty_by_class AS v FROM by_class
@@ -135,10 +147,7 @@ PARTS: dict[str, str] = {
     "level_scaled": """
         SELECT week_num, level, name, CASE WHEN top IS NULL OR top = 0 THEN 0 ELSE v / top END AS v
         FROM levels JOIN level_tops USING (level, name)""",
-    "attr_weeks": f"""
-        SELECT * REPLACE ({r('sum_item_qty', 'avg_purchase_price', *LEVEL_COLUMNS, 'sum_item_qty_scaled')})
-        FROM attr_weeks_exact""",
-    "attr_weeks_exact": """
+    "attr_weeks": """
         SELECT i.*, c.v AS avg_item_qty_by_class_scaled, s.v AS avg_item_qty_by_subclass_scaled,
                m.v AS avg_item_qty_by_model_scaled,
                sum_item_qty / (SELECT max(sum_item_qty) FROM item_sums z WHERE z.item = i.item) AS sum_item_qty_scaled
@@ -147,10 +156,7 @@ PARTS: dict[str, str] = {
               AND c.name = regexp_extract(i.dept_class_subclass, '^[^|]*[|][^|]*')
         LEFT JOIN level_scaled s ON s.level = 'subclass' AND s.week_num = i.week_num AND s.name = i.dept_class_subclass
         LEFT JOIN level_scaled m ON m.level = 'model' AND m.week_num = i.week_num AND m.name = i.model""",
-    "attr_store_weeks": f"""
-        SELECT * REPLACE ({r('week_item_qty', 'avg_purchase_price', *LEVEL_COLUMNS, 'week_item_qty_scaled')})
-        FROM attr_store_weeks_exact""",
-    "attr_store_weeks_exact": """
+    "attr_store_weeks": """
         SELECT i.year, i.week, i.week_num, i.store, i.item, i.dept_class_subclass, i.model, i.week_item_qty,
                sum_purchase_price / count_tickets AS avg_purchase_price,
                c.v AS avg_item_qty_by_class_scaled, s.v AS avg_item_qty_by_subclass_scaled,
@@ -229,10 +235,10 @@ def with_parts(select: str) -> str:
 def week_features(source: str, keys: list[str], measures: list[Measure], reach: Reach) -> str:
     """Same-year features as a self join with one filtered sum per column."""
     sums = ", ".join(
-        f"round(sum(p.{m.column}) FILTER (p.week_num = w.week_num + {d}), 6) AS {m.week}_{suffix}"
+        f"sum(p.{m.column}) FILTER (p.week_num = w.week_num + {d}) AS {m.week}_{suffix}"
         for suffix, d in week_offsets(reach.left, reach.right) for m in measures)
     same = " AND ".join(f"p.{k} = w.{k}" for k in keys)
-    own = ", ".join(f"round(any_value(w.{m.column}), 6) AS {m.column}" for m in measures)
+    own = ", ".join(f"any_value(w.{m.column}) AS {m.column}" for m in measures)
     named = ", ".join(f"w.{k}" for k in ["year", "week", "week_num", *keys])
     return (f"SELECT {named}, {own}, {sums} FROM {source} w LEFT JOIN {source} p ON {same} "
             f"AND p.week_num BETWEEN w.week_num - {reach.left} AND w.week_num + {reach.right} GROUP BY {named}")
@@ -241,7 +247,7 @@ def week_features(source: str, keys: list[str], measures: list[Measure], reach:
 def year_features(source: str, keys: list[str], measures: list[Measure], reach: Reach) -> str:
     """Prior-year features as a self join around last year's matching week."""
     sums = ", ".join(
-        f"round(sum(p.{m.column}) FILTER (p.week_num = c.prev_week_num + {d}), 6) AS {m.year}_{suffix}"
+        f"sum(p.{m.column}) FILTER (p.week_num = c.prev_week_num + {d}) AS {m.year}_{suffix}"
         for suffix, d in year_offsets(reach.year_left, reach.year_right) for m in measures)
     same = " AND ".join(f"p.{k} = w.{k}" for k in keys)
     named = ", ".join(f"w.{k}" for k in ["year", "week", "week_num", *keys])
@@ -357,10 +363,10 @@ def filled(grid: str) -> str:
 PARTS["rebuilt"] = filled("rebuild_grid")
 
 # The same marts drawn from capped quantities, the weekly ones over the dense calendar.
-PARTS["chain_daily"] = """
-    SELECT sell_date, store, item, count(*) AS tickets_qty, sum(total_cost) AS total_cost,
+PARTS["chain_daily"] = f"""
+    SELECT sell_date, store, item, count(*) AS tickets_qty, {exact_sum('total_cost')} AS total_cost,
            sum(least(item_qty, item_qty_max_offline)) AS item_qty,
-           round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
+           round_even({exact_sum('total_cost')} / nullif(sum(item_qty), 0), 0) AS purchase_price
     FROM tickets LEFT JOIN caps USING (item)
     WHERE CAST(item AS VARCHAR) NOT LIKE '49%' GROUP BY sell_date, store, item"""
 for part in ("priced", "rebuild_grid", "rebuilt", "basic_exact", "basic"):
@@ -480,7 +486,7 @@ ORACLES: dict[str, str] = {
     "capped_quantities": f"""
         SELECT sell_date, store, item, count(*) AS tickets_qty, round(sum(total_cost), 6) AS total_cost,
                round(sum(least(item_qty, item_qty_max_offline)), 6) AS item_qty,
-               round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
+               round_even({exact_sum('total_cost')} / nullif(sum(item_qty), 0), 0) AS purchase_price
         FROM tickets LEFT JOIN caps USING (item)
         WHERE CAST(item AS VARCHAR) NOT LIKE '49%' GROUP BY sell_date, store, item""",
     "agg_day_store_item": f"""
@@ -488,7 +494,7 @@ ORACLES: dict[str, str] = {
     "agg_day_store_item_split": f"""
         SELECT sell_date, store, item, count(*) AS tickets_qty, round(sum(total_cost), 6) AS total_cost,
                round(sum(least(item_qty, item_qty_max_offline)), 6) AS item_qty,
-               round_even(sum(total_cost) / nullif(sum(item_qty), 0), 0) AS purchase_price
+               round_even({exact_sum('total_cost')} / nullif(sum(item_qty), 0), 0) AS purchase_price
         FROM (SELECT *, item_qty AS raw FROM tickets) LEFT JOIN caps USING (item)
         WHERE CAST(item AS VARCHAR) NOT LIKE '49%'
         GROUP BY sell_date, store, item, raw""",
@@ -499,9 +505,9 @@ ORACLES: dict[str, str] = {
     "agg_stock_by_store": f"""
         SELECT week_num, store, item, {r('avg_week_qty_by_store', 'max_week_qty_by_store', 'sum_week_qty')},
                cnt_days_in_week, zero_qty_cnt_by_store, is_zero_qty_week, is_zero_qty_week_part FROM stock""",
-    "agg_stock_by_week": """
+    "agg_stock_by_week": f"""
         SELECT week_num, item, round(sum(sum_week_qty) / sum(cnt_days_in_week), 6) AS avg_qty_by_week,
-               round(sum(avg_week_qty_by_store), 6) AS sum_avg_week_qty_by_store,
+               round({exact_sum('avg_week_qty_by_store')}, 6) AS sum_avg_week_qty_by_store,
                round(sum(max_week_qty_by_store), 6) AS sum_max_week_qty_by_store,
                CAST(sum(is_zero_qty_week_part) AS BIGINT) AS num_zero_stock_week_part,
                CAST(sum(is_zero_qty_week) AS BIGINT) AS num_zero_stock_week_all

@@ -41,7 +41,7 @@ def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFra
 
 
 def register_as_is(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    """Add a query that only moves values of an already rounded mart."""
+    """Add a query whose values are moved only, or added up in whatever order with the same bits."""
     _QUERIES[build.__name__] = lambda spark, folder: build(Inputs(spark, folder))
     return build
 
@@ -437,12 +437,12 @@ def _means(i: Inputs, tickets: DataFrame) -> sales.LevelMeans:
 
 def _attr_weeks(i: Inputs) -> DataFrame:
     tickets = materialize(_store_weeks(i), "store-weeks")
-    return rounded(hier.attr_by_week(agg.sum_tickets_by_week(tickets), *_means(i, tickets)))
+    return hier.attr_by_week(agg.sum_tickets_by_week(tickets), *_means(i, tickets))
 
 
 def _attr_store_weeks(i: Inputs) -> DataFrame:
     tickets = materialize(_store_weeks(i), "store-weeks")
-    return rounded(hier.attr_by_store(tickets, *_means(i, tickets)))
+    return hier.attr_by_store(tickets, *_means(i, tickets))
 
 
 @register_as_is

@@ -84,8 +84,7 @@ def level_means(scaled: DataFrame) -> LevelMeans:
 def extended_features(weekly: DataFrame, calendar: DataFrame, exceptions: DataFrame, by_store: bool) -> DataFrame:
     """Masked features of the week and the year before, by item or store and item."""
     keys, measures = (["store", "item"], feat.BY_STORE) if by_store else (["item"], feat.BY_ITEM)
-    combined = feat.week_and_year_features(weekly, calendar, keys, measures, feat.EXTENDED_REACH)
-    return feat.mask_exceptions(combined, exceptions, measures, feat.EXTENDED_REACH)
+    return feat.masked_features(weekly, calendar, exceptions, keys, measures, feat.EXTENDED_REACH)
 
 
 # -------------------------------------------------------------- runs over tables

@@ -107,6 +107,48 @@ def test_rollup_adds_quantities_and_averages_prices(spark):
     assert rows(feat.rollup_over_stores(df, feat.BASIC)) == [(1, 1, 1, 7, 4.0, 4.0, 2.0, None)]
 
 
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Keys with several rows in some weeks."""
+    rng = random.Random(4)
+    data = [(100 + n // 52, n % 52, n, i, float(rng.randrange(9)), float(rng.randrange(5)) if rng.random() < .8 else None)
+            for i in range(4) for n in range(5, 150) if rng.random() < .6 for _ in range(rng.choice([1, 1, 1, 2, 3]) if i else 1)]
+    return data, spark.createDataFrame(data, SCHEMA)
+
+
+def added(data, item, week, column):
+    found = [r[column] for r in data if r[3] == item and r[2] == week and r[column] is not None]
+    return sum(found) if found else None
+
+
+def test_rows_of_a_repeated_week_add_up(spark, repeated):
+    data, df = repeated
+    matches = {n: n - (52 if n % 3 else 50) for n in range(200)}
+    calendar = spark.createDataFrame(list(matches.items()), "week_num int, prev_week_num int")
+    got = feat.week_and_year_features(df, calendar, ["item"], MEASURES, REACH).collect()
+    assert len(got) == len(data)
+    for r in got:
+        for suffix, d in feat.week_offsets(REACH.left, REACH.right):
+            assert r[f"qty_{suffix}"] == added(data, r.item, r.week_num + d, 4)
+            assert r[f"price_{suffix}"] == added(data, r.item, r.week_num + d, 5)
+        for suffix, d in feat.year_offsets(REACH.year_left, REACH.year_right):
+            assert r[f"qty_scaled_{suffix}"] == added(data, r.item, matches[r.week_num] + d, 4)
+    alone = feat.prior_year_features(df, calendar, ["item"], MEASURES, REACH).collect()
+    reach = range(-REACH.year_left, REACH.year_right + 1)
+    weeks = {(r[3], r[2]) for r in data}
+    assert len(alone) == sum(any((r[3], matches[r[2]] + d) in weeks for d in reach) for r in data)
+
+
+@pytest.mark.parametrize("exceptions", [[], [(101, 79, 131), (101, 82, 134)], [(100, 50, 102), (101, 53, 104), (102, 110, 160)]])
+def test_masked_slices_agree_with_masked_columns(spark, repeated, exceptions):
+    _, df = repeated
+    calendar = spark.createDataFrame([(n, n - 52) for n in range(0, 200)], "week_num int, prev_week_num int")
+    listed = spark.createDataFrame(exceptions, "year int, week_num int, next_week_num int")
+    wide = feat.mask_exceptions(feat.week_and_year_features(df, calendar, ["item"], MEASURES, REACH), listed, MEASURES, REACH)
+    got = feat.masked_features(df, calendar, listed, ["item"], MEASURES, REACH)
+    assert got.columns == wide.columns and rows(got) == rows(wide)
+
+
 def test_week_and_year_features_take_one_shuffle_and_no_wide_join(spark, weekly):
     _, df = weekly
     calendar = spark.createDataFrame([(n, n - 52) for n in range(200)], "week_num int, prev_week_num int")
