@@ -2,14 +2,15 @@
 
 A text is cut into lines after line breaks and, so that passages inside long lines
 are seen too, after words that end a sentence. Lines are equal if their words are,
-A-Z lower-cased. Of every two neighbouring lines the one with the least hash is a
-fingerprint. It is posted with the line before and with the line after it, so that a
-common line is told apart by its neighbours, and every run of two lines that occurs
-twice is matched, wherever its lines occur first. Each pair is joined with its first
-occurrence in the corpus; matches that touch are one run. A line of at least 20 words
-is posted by itself as well and needs no matching neighbour.
-Runs of matched lines with at least 20 words are deleted
-wherever they occur later; the first occurrence, in the order of (doc_id, text hash,
+A-Z lower-cased. A window is the shortest stretch of lines from a line on, or up to a
+line, that has at least 20 words; a line of 20 words is a window by itself. The line of
+least hash in a window, the first of equal ones, is a fingerprint: equal windows
+always have the same one, so a window whose fingerprint occurs once is not looked at
+again. Around fingerprints that occur again, matches are extended both ways by the
+windows that hold them, as far back and ahead as these reach: the positions of equal
+windows are joined with their first occurrence, and what matches is their union. So
+every run of lines with at least 20 words that occurs earlier, line after line, is
+deleted, and nothing else; the first occurrence, in the order of (doc_id, text hash,
 place in the text), stays.
 
 Defined cases: null and empty texts have no lines and stay as they are; blank lines
@@ -37,7 +38,7 @@ from shelfline.session import materialize
 MIN_WORDS = 20
 SENTENCE_END = np.array([33, 46, 63], np.uint8)
 LAST = (1 << 63) - 1
-POSTS = "hash long, place long, text_key long, at int, until int"
+POSTS = "fingerprint long, place long, text_key long, windows array<struct<hash:long,at:int,until:int>>"
 
 
 def words_and_breaks(hasher: WordHasher, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,15 +93,42 @@ def sized_lines(hasher: WordHasher, texts: list[bytes]) -> tuple[np.ndarray, np.
     return owner, line.view(np.int64), begin - base, until - base, sizes
 
 
-def fingerprints(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Positions of the least hash of each two neighbouring lines of a text, the later of equal ones."""
-    pair = np.flatnonzero(owner[1:] == owner[:-1])
-    return np.unique(np.where(hashes[pair + 1] <= hashes[pair], pair + 1, pair))
-
-
-def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, text_key, text) to a row per fingerprint and neighbour, and per long line."""
-    hasher = WordHasher()
+def windows(owner: np.ndarray, sizes: np.ndarray, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) line of the shortest stretches of ``least`` words from each line on and up to each line of a text."""
+    words = np.concatenate(([0], np.cumsum(sizes)))
+    line = np.arange(len(sizes))
+    last = np.searchsorted(words, words[:-1] + least) - 1
+    ahead = np.flatnonzero(last < len(sizes))
+    ahead = ahead[owner[last[ahead]] == owner[ahead]]
+    first = np.searchsorted(words, words[1:] - least, side="right") - 1
+    back = np.flatnonzero(first >= 0)
+    back = back[owner[first[back]] == owner[back]]
+    pairs = np.unique(np.concatenate((line[ahead] * (len(sizes) + 1) + last[ahead], first[back] * (len(sizes) + 1) + line[back])))
+    return pairs // (len(sizes) + 1), pairs % (len(sizes) + 1)
+
+
+def fingerprints(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Of each window the position of its least hash, the first of equal ones."""
+    best = first.copy()
+    for k in range(1, int((last - first).max(initial=0)) + 1):
+        more = np.flatnonzero(first + k <= last)
+        other = first[more] + k
+        better = hashes[other] < hashes[best[more]]
+        best[more[better]] = other[better]
+    return best
+
+
+def window_hashes(line: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of the lines of each window, wherever it lies."""
+    odd = int(GOLDEN) | 1
+    powers = np.cumprod(np.full(len(line), odd, np.uint64))
+    back = np.cumprod(np.full(len(line), pow(odd, -1, 1 << 64), np.uint64))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(line.view(np.uint64) + GOLDEN) * powers)))
+    return mixed((sums[last + 1] - sums[first]) * back[first] ^ (last - first + 1).astype(np.uint64) * GOLDEN).view(np.int64)
+
+
+def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """(texts, places, text keys) of bounded size together, from (place, text_key, text)."""
     for batch in batches:
         places, keys = batch.column("place").to_numpy(), batch.column("text_key").to_numpy()
         group: list[bytes] = []
@@ -108,45 +136,58 @@ def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, value in enumerate(batch.column("text")):
             text = value.as_buffer().to_pybytes() if value.is_valid else b""
             if group and size + len(text) > BLOCK_BYTES:
-                yield posts(hasher, group, places[first:n], keys[first:n])
+                yield group, places[first:n], keys[first:n]
                 group, first, size = [], n, 0
             group.append(text)
             size += len(text)
         if group:
-            yield posts(hasher, group, places[first:], keys[first:])
-
-
-def posts(hasher: WordHasher, texts: list[bytes], places: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-    owner, line, at, until, sizes = sized_lines(hasher, texts)
-    picked = fingerprints(owner, line)
-    # A pair is known by its first line; two fingerprints side by side share one.
-    first = np.zeros(len(line) + 1, bool)  # with a slot for the line before the first one
-    first[picked - 1] = first[picked] = True
-    pair = np.flatnonzero(first[:-2] & (owner[1:] == owner[:-1]))
-    long = np.flatnonzero(sizes >= MIN_WORDS)
-    words = line.view(np.uint64)
-    hashes = np.concatenate((mixed(mixed(words[pair] + GOLDEN) + words[pair + 1]), mixed(words[long] ^ GOLDEN))).view(np.int64)
-    start, end = np.concatenate((pair, long)), np.concatenate((pair + 1, long))
-    columns = [
-        pa.array(hashes, pa.int64()), pa.array(places[owner[start]], pa.int64()), pa.array(keys[owner[start]], pa.int64()),
-        pa.array(at[start], pa.int32()), pa.array(until[end], pa.int32())]
-    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in POSTS.split(", ")])
+            yield group, places[first:], keys[first:]
+
+
+def post_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, text_key, text) to the hashes of fingerprints."""
+    hasher = WordHasher()
+    for texts, _, _ in in_groups(batches):
+        owner, line, _, _, sizes = sized_lines(hasher, texts)
+        picked = np.unique(fingerprints(line, *windows(owner, sizes)))
+        yield pa.RecordBatch.from_arrays([pa.array(line[picked], pa.int64())], names=["fingerprint"])
+
+
+def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, text_key, text) to a row per fingerprint with the windows that it is the least of."""
+    hasher = WordHasher()
+    for texts, places, keys in in_groups(batches):
+        owner, line, at, until, sizes = sized_lines(hasher, texts)
+        first, last = windows(owner, sizes)
+        best = fingerprints(line, first, last)
+        order = np.argsort(best, kind="stable")
+        first, last = first[order], last[order]
+        picked, begin = np.unique(best[order], return_index=True)
+        held = pa.StructArray.from_arrays(
+            [pa.array(window_hashes(line, first, last), pa.int64()), pa.array(at[first], pa.int32()), pa.array(until[last], pa.int32())],
+            ["hash", "at", "until"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(order)), pa.int32()), held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(line[picked], pa.int64()), pa.array(places[owner[picked]], pa.int64()),
+             pa.array(keys[owner[picked]], pa.int64()), lists], names=["fingerprint", "place", "text_key", "windows"])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(place_, key_, spans): byte ranges of each document whose lines occur earlier.
 
-    Only hashes are counted over all documents; the rows of those that repeat are
-    written once. Every later occurrence is joined with one row, the first occurrence.
+    Only the hashes of fingerprints are counted over all documents; the windows of
+    those that repeat are written once. Every later window is joined with one row, its
+    first occurrence.
     """
-    posted = docs.select("place", "text_key", "text").mapInArrow(post, POSTS)
-    # Written as well, so that the join below is one of two plain shuffles, whose hot hashes Spark can split.
-    first = materialize(posted.groupBy("hash").agg(
-        F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-hashes")
-    repeated = materialize(posted.join(first.select("hash", "first_place"), "hash"), "fingerprints")
-    source = materialize(repeated.where("place = first_place").groupBy("hash").agg(
-        F.min(F.struct("text_key", "at")).alias("s")), "first-places")
-    matched = repeated.join(source, "hash").where("place <> first_place OR text_key <> s.text_key OR at <> s.at")
+    texts = docs.select("place", "text_key", "text")
+    # Written, so that the join below is one of two plain shuffles, whose hot lines Spark can split.
+    repeated = materialize(texts.mapInArrow(post_fingerprints, "fingerprint long").groupBy("fingerprint").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint"), "repeated-fingerprints")
+    around = materialize(texts.mapInArrow(post, POSTS).join(repeated, "fingerprint").select(
+        "place", "text_key", F.explode("windows").alias("w")).select("place", "text_key", "w.*"), "windows")
+    source = materialize(around.groupBy("hash").agg(
+        F.min(F.struct("place", "text_key", "at")).alias("s"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "s"), "first-places")
+    matched = around.join(source, "hash").where("place <> s.place OR text_key <> s.text_key OR at <> s.at")
     return matched.groupBy(F.col("place").alias("place_"), F.col("text_key").alias("key_")).agg(
         F.collect_set(F.struct(F.col("at").alias("a"), F.col("until").alias("b"))).alias("spans"))
 
@@ -166,10 +207,9 @@ def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
             else:
                 runs.append([span["a"], span["b"]])
         for a, b in runs:
-            if len(data[a:b].split()) >= MIN_WORDS:
-                pieces.append(data[done:a])
-                done = b
-                deleted.append({"from_byte": a, "to_byte": b})
+            pieces.append(data[done:a])
+            done = b
+            deleted.append({"from_byte": a, "to_byte": b})
         out.append(((b"".join(pieces) + data[done:]).decode(), deleted))
     return pd.DataFrame(out, columns=["text", "deleted"])
 

@@ -285,9 +285,64 @@ def test_windows_always_share_a_fingerprint():
 
     draw = np.random.default_rng(3)
     for _ in range(50):
-        hashes, owner = draw.integers(0, 5, 30), np.sort(draw.integers(0, 3, 30))
-        picked = set(lines.fingerprints(owner, hashes).tolist())
-        assert all({k, k + 1} & picked for k in range(29) if owner[k] == owner[k + 1])
+        hashes, owner, sizes = draw.integers(0, 9, 40), np.sort(draw.integers(0, 3, 40)), draw.integers(1, 12, 40)
+        first, last = lines.windows(owner, sizes)
+        picked = lines.fingerprints(hashes, first, last)
+        spans = set(zip(first.tolist(), last.tolist(), strict=True))
+        for k in range(40):
+            ahead = next((e for e in range(k, 40) if sizes[k:e + 1].sum() >= 20), None)
+            back = next((b for b in range(k, -1, -1) if sizes[b:k + 1].sum() >= 20), None)
+            assert ahead is None or owner[ahead] != owner[k] or (k, ahead) in spans
+            assert back is None or owner[back] != owner[k] or (back, k) in spans
+        for a, b, p in zip(first.tolist(), last.tolist(), picked.tolist(), strict=True):
+            assert owner[a] == owner[b] and p == a + int(np.argmin(hashes[a:b + 1]))
+    # Lines of six words: windows of four lines, and less than half of the lines are posted.
+    long = draw.integers(0, 1 << 62, 20_000)
+    picked = lines.fingerprints(long, *lines.windows(np.zeros(20_000, int), np.full(20_000, 6)))
+    assert len(np.unique(picked)) < 10_000
+
+
+def runs_deleted(docs, least=20):
+    """Lines inside a run of ``least`` words that occurs earlier at one offset, over all pairs of places."""
+    out = []
+    places = [(d, n) for d, doc in enumerate(docs) for n in range(len(doc))]
+    for d, doc in enumerate(docs):
+        gone = set()
+        for n in range(len(doc)):
+            for e, m in places:
+                if (e, m) >= (d, n) or docs[e][m] != doc[n]:
+                    continue
+                a = 0
+                while min(n, m) - a > 0 and docs[e][m - a - 1] == doc[n - a - 1]:
+                    a += 1
+                b = 0
+                while n + b + 1 < len(doc) and m + b + 1 < len(docs[e]) and docs[e][m + b + 1] == doc[n + b + 1]:
+                    b += 1
+                if sum(len(line.split()) for line in doc[n - a:n + b + 1]) >= least:
+                    gone.add(n)
+        out.append("\n".join(line for k, line in enumerate(doc) if k not in gone))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_deleted_lines_are_those_of_earlier_runs(spark, seed):
+    draw = random.Random(seed)
+    known = [invented(0, 1000 + k, draw.choice([1, 3, 5, 7, 9, 12, 25])) for k in range(25)]
+    passages = [[draw.choice(known) for _ in range(draw.randint(2, 7))] for _ in range(8)]
+    docs = [[line for _ in range(draw.randint(1, 5)) for line in
+             (draw.choice(passages) if draw.random() < 0.5 else [draw.choice(known) if draw.random() < 0.5 else invented(0, draw.random(), 6)])]
+            for _ in range(60)]
+    found = {r.row.doc_id: r.cut.text for r in lines.dedupe_lines(
+        documents(spark, [(n, "\n".join(d)) for n, d in enumerate(docs)]).repartition(3)).collect()}
+    assert [found[n].rstrip("\n") for n in range(60)] == runs_deleted(docs)
+
+
+def test_a_passage_stitched_from_known_pairs_stays(spark):
+    line = [invented(0, 700 + k, 4) for k in range(7)]
+    pairs = [(k, f"{invented(0, 800 + k, 9)}\n{line[k]}\n{line[k + 1]}\n{invented(0, 900 + k, 9)}") for k in range(6)]
+    whole = (9, "\n".join(line))
+    out = {r.row.doc_id: r.cut.text for r in lines.dedupe_lines(documents(spark, [*pairs, whole])).collect()}
+    assert out == dict([*pairs, whole])
 
 
 def test_lines_end_with_breaks_and_sentences_in_texts_of_any_size(monkeypatch):
