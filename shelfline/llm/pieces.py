@@ -8,11 +8,12 @@ occurrence of a word has draws of its own, fixed by the seed. Without dropout th
 SentencePiece library gives. Every text decodes exactly: characters outside the vocabulary, and the
 mark that stands for a space, are spelled in bytes.
 
-Words never share a merge, and what becomes of one depends only on its characters and
-on which of its candidate merges are skipped. Candidates are the parts of a word that
-are pieces; their draws are made for every occurrence, and each distinct (word, set of
-skipped candidates) of a stretch of text is worked out once, many at a time, as rows of
-a matrix of symbols; very long words use an agenda of their own.
+Words never share a merge. Each distinct word of a stretch of text is first worked out
+without dropout, with a note of every candidate merge that the agenda looks at. Draws
+are made for these, for each occurrence: where none is skipped, the plain pieces are
+the occurrence's own, and only the others are worked out one by one, drawing as the
+agenda goes. Many words are worked at a time, as rows of a matrix of symbols; very long
+words use an agenda of their own.
 
 Defined cases: null gives null ids, an empty text none; texts of any length are
 encoded whole, in stretches; repeated rows (same id and text) are numbered as copies
@@ -24,29 +25,32 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import in_small_batches, table
+from shelfline.llm.common import in_small_batches, small_side, table
 from shelfline.llm.textbytes import GOLDEN, mixed
+from shelfline.session import materialize
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 7
 STRETCH = 1_500_000
 DRAWN = 50_000
+COPIES = 1_000
 LONG_WORD = 48
 SLOTS = 18
 SPACE = "▁"
 WORD = re.compile(r" +[^ ]*")
 NEVER = np.iinfo(np.int32).max
 OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
+Note = Callable[[np.ndarray, np.ndarray, np.ndarray], None]
 
 
 @dataclass
@@ -60,9 +64,6 @@ class Vocabulary:
     keys: np.ndarray          # 2 ** SLOTS: left * 2 ** 21 + right of a pair, or -1
     merged: np.ndarray        # the pair's piece
     rank: np.ndarray          # per piece: its place in the order of merges
-    parts: np.ndarray         # sorted hashes of the pieces that merges can make
-    part_ids: np.ndarray      # their pieces
-    part_sizes: np.ndarray    # the numbers of characters that such pieces have
 
     @property
     def size(self) -> int:
@@ -87,14 +88,6 @@ def slot_of(key: np.ndarray) -> np.ndarray:
     return ((key.astype(np.uint64) * GOLDEN) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
 
-def code_hashes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums over code points and the factors that make their differences independent of the place."""
-    odd = int(GOLDEN) | 1
-    powers = np.cumprod(np.full(len(code), odd, np.uint64))
-    back = np.cumprod(np.full(len(code), pow(odd, -1, 1 << 64), np.uint64))
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed((code.astype(np.uint64) + np.uint64(1)) * OTHER) * powers))), back
-
-
 def load_vocabulary(path: str = MODEL) -> Vocabulary:
     """Read a byte-pair model file with the public library, on the driver."""
     import sentencepiece
@@ -131,15 +124,7 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
         left = np.ones(len(rest), bool)
         left[taken] = False
         rest, into, slot = rest[left], into[left], (slot[left] + (keys[slot[left]] != rest[left])) & ((1 << SLOTS) - 1)
-    made = sorted(set(pairs.values()))
-    spelled = [raw[n].decode() for n in made]
-    sums, back = code_hashes(np.frombuffer("".join(spelled).encode("utf-32-le"), np.uint32))
-    ends = np.cumsum([len(p) for p in spelled])
-    begin = ends - [len(p) for p in spelled]
-    parts = mixed((sums[ends] - sums[begin]) * back[begin])
-    order = np.argsort(parts)
-    return Vocabulary(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), byte_ids, chars, keys, merged, rank,
-                      parts[order], np.array(made, np.int64)[order], np.unique(ends - begin))
+    return Vocabulary(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), byte_ids, chars, keys, merged, rank)
 
 
 class Encoder:
@@ -152,50 +137,68 @@ class Encoder:
         draw = mixed(row_key + start.astype(np.uint64) * GOLDEN + into.astype(np.uint64) * OTHER)
         return draw < self.skip_below
 
-    def ranks(self, left: np.ndarray, right: np.ndarray, row_key: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each pair, its place in the order of merges (NEVER if there is none or it is skipped) and its piece."""
+    def ranks(self, left: np.ndarray, right: np.ndarray, row_key: np.ndarray | None, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each pair, its place in the order of merges (NEVER if there is none or it is skipped) and its piece; nothing is
+        skipped without a key."""
         into = self.words.look_up(left, right)
         rank = np.where(into >= 0, self.words.rank[np.maximum(into, 0)], NEVER)
-        if self.skip_below:
+        if self.skip_below and row_key is not None:
             some = np.flatnonzero(into >= 0)
             rank[some[self.skipped(row_key[some], start[some], into[some])]] = NEVER
         return rank, into
 
-    def merge_rows(self, symbols: np.ndarray, row_key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge the words in the rows of a matrix; (matrix, how many symbols of each row are left)."""
+    def merge_rows(self, symbols: np.ndarray, row_key: np.ndarray | None, note: Note | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Merge the words in the rows of a matrix; (matrix, which of its symbols are left).
+
+        A merged piece stays at the place of its left part, and pointers lead from
+        place to place, so that a merge touches its neighbours only. ``note`` is
+        called with (row, start, piece) of the candidates looked at.
+        """
         count, width = symbols.shape
-        lengths = np.full(count, width)
+        left = np.ones(symbols.shape, bool)
         if width < 2:
-            return symbols, lengths
-        symbols = symbols.copy()
-        starts = np.broadcast_to(np.arange(width), symbols.shape).copy()
-        rank, into = self.ranks(symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), np.repeat(row_key, width - 1), starts[:, :-1].ravel())
-        rank, into = rank.reshape(count, -1), into.reshape(count, -1)
+            return symbols, left
+        symbols = symbols.copy().ravel()
+        place = np.arange(width, dtype=np.int32)
+        after, before = np.tile(place + 1, count), np.tile(place - 1, count)
+        rank = np.full((count, width), NEVER, np.int32)
+        into = np.full(count * width, -1, np.int32)
+        cell = (np.arange(count)[:, None] * width + np.arange(width - 1)).ravel()
+        keys = np.repeat(row_key, width - 1) if row_key is not None else None
+        flat, alive = rank.ravel(), left.ravel()
+        flat[cell], into[cell] = self.ranks(symbols[cell], symbols[cell + 1], keys, cell % width)
+        if note:
+            some = cell[into[cell] >= 0]
+            note(some // width, some % width, into[some])
         active = np.arange(count)
-        columns = np.arange(width)
         while len(active):
             at = rank[active].argmin(axis=1)
-            going = rank[active, at] < NEVER
-            active, at = active[going], at[going]
+            base = active * width
+            going = flat[base + at] < NEVER
+            active, at, base = active[going], at[going], base[going]
             if not len(active):
                 break
-            # The pair's left symbol becomes the piece; everything right of the pair moves up.
-            shift = np.minimum(columns[None, :] + (columns[None, :] > at[:, None]), width - 1)
-            piece = into[active, at]
-            symbols[active] = np.take_along_axis(symbols[active], shift, 1)
-            starts[active] = np.take_along_axis(starts[active], shift, 1)
-            pair_shift = np.minimum(shift[:, :-1], width - 2)
-            rank[active] = np.take_along_axis(rank[active], pair_shift, 1)
-            into[active] = np.take_along_axis(into[active], pair_shift, 1)
-            symbols[active, at] = piece
-            lengths[active] -= 1
-            rank[active, lengths[active] - 1] = NEVER
-            for side in (at - 1, at):
-                rows = np.flatnonzero((side >= 0) & (side + 1 < lengths[active]))
-                row, column = active[rows], side[rows]
-                rank[row, column], into[row, column] = self.ranks(
-                    symbols[row, column], symbols[row, column + 1], row_key[row], starts[row, column])
-        return symbols, lengths
+            here = base + at
+            gone = base + after[here]
+            symbols[here] = into[here]
+            alive[gone] = False
+            flat[gone] = NEVER
+            then = after[gone]
+            after[here] = then
+            inner = then < width
+            before[(base + then)[inner]] = at[inner]
+            flat[here[~inner]] = NEVER
+            outer = before[here] >= 0
+            # The pairs on both sides of the new piece.
+            first = np.concatenate(((base + before[here])[outer], here[inner]))
+            second = np.concatenate((here[outer], (base + then)[inner]))
+            row, start = first // width, first % width
+            flat[first], into[first] = _, made = self.ranks(
+                symbols[first], symbols[second], row_key[row] if row_key is not None else None, start)
+            if note:
+                some = made >= 0
+                note(row[some], start[some], made[some])
+        return symbols.reshape(count, width), left
 
     def merge_long(self, symbols: np.ndarray, row_key: np.uint64) -> np.ndarray:
         """The same for one very long word, by an agenda of candidate merges."""
@@ -220,68 +223,55 @@ class Encoder:
                         heapq.heappush(agenda, (int(r[0]), x, y, int(p[0]), ids[x], ids[y]))
         return np.array([s for s, a in zip(ids, alive, strict=True) if a], np.int32)
 
-    def candidates(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, piece, where each word's begin, with the end) of the merges that words can make, in any order of merges."""
-        code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        ends = np.cumsum([len(w) for w in words])
-        begin = np.concatenate(([0], ends[:-1]))
-        owner = np.repeat(np.arange(len(words)), ends - begin)
-        sums, back = code_hashes(code)
-        places, made = [np.zeros(0, int)], [np.zeros(0, np.int64)]
-        for size in self.words.part_sizes.tolist():
-            at = np.arange(max(len(code) - size + 1, 0))
-            at = at[at + size <= ends[owner[at]]]
-            part = mixed((sums[at + size] - sums[at]) * back[at])
-            slot = np.minimum(np.searchsorted(self.words.parts, part), len(self.words.parts) - 1)
-            hit = self.words.parts[slot] == part
-            places.append(at[hit])
-            made.append(self.words.part_ids[slot[hit]])
-        place, into = np.concatenate(places), np.concatenate(made)
-        order = np.argsort(owner[place], kind="stable")
-        place, into = place[order], into[order]
-        word = owner[place]
-        return place - begin[word], into, np.searchsorted(word, np.arange(len(words) + 1))
-
-    def outcomes(self, words: list[str], code: np.ndarray, row_key: np.ndarray) -> np.ndarray:
-        """Of each occurrence of a word, a hash of the set of its skipped candidates; 0 if there are none."""
-        found = np.zeros(len(code), np.uint64)
-        if not self.skip_below:
-            return found
-        start, into, first = self.candidates(words)
+    def plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(all ids, where each word's start, with the end) of words without dropout, and (start, piece, where each word's
+        begin, with the end) of the candidates looked at. A very long word has none of either."""
+        noted: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int32))]
+        ids, starts = self.encode_words(words, None, lambda *found: noted.append(found))
+        word, start, into = (np.concatenate(c) for c in zip(*noted, strict=True))
+        order = np.argsort(word, kind="stable")
+        return ids, starts, start[order], into[order], np.searchsorted(word[order], np.arange(len(words) + 1))
+
+    def deviating(self, code: np.ndarray, row_key: np.ndarray, start: np.ndarray, into: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Occurrences of words for which a candidate that the plain agenda looks at is skipped."""
+        found = []
         for n in range(0, len(code), DRAWN):
             part = code[n:n + DRAWN]
             many = first[part + 1] - first[part]
             ends = np.cumsum(many)
             at = np.arange(ends[-1]) + np.repeat(first[part] - (ends - many), many)
             skipped = np.flatnonzero(self.skipped(np.repeat(row_key[n:n + DRAWN], many), start[at], into[at]))
-            marks = mixed((start[at[skipped]].astype(np.uint64) + np.uint64(1)) * GOLDEN + into[at[skipped]].astype(np.uint64) * OTHER)
-            np.add.at(found, n + np.searchsorted(ends, skipped, side="right"), marks)
-        return found
+            found.append(n + np.unique(np.searchsorted(ends, skipped, side="right")))
+        return np.concatenate(found)
+
+    def encode_words(self, words: list[str], keys: np.ndarray | None, note: Note | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids one after another, where each word's ids start, with the end) of words and the keys of their draws.
 
-    def encode_words(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids one after another, where each word's ids start, with the end) of words and the keys of their draws."""
+        Without keys nothing is skipped and very long words are left out; ``note`` gets the candidates looked at.
+        """
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         sizes = np.array([len(w) for w in words])
         begin = np.concatenate(([0], np.cumsum(sizes)))
         symbols = self.words.chars[code]
-        left = np.zeros(len(words), int)
+        many = np.zeros(len(words), int)
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             if size > LONG_WORD:
-                for r in rows.tolist():
+                for r in rows.tolist() if keys is not None else []:
                     ids = self.merge_long(symbols[begin[r]:begin[r + 1]], keys[r])
-                    left[r] = len(ids)
-                    parts.append((np.array([r]), ids[None, :], np.array([len(ids)])))
+                    many[r] = len(ids)
+                    parts.append((np.array([r]), ids[None, :], np.ones((1, len(ids)), bool)))
                 continue
-            found, lengths = self.merge_rows(symbols[begin[rows][:, None] + np.arange(size)], keys[rows])
-            left[rows] = lengths
-            parts.append((rows, found, lengths))
-        starts = np.concatenate(([0], np.cumsum(left)))
+            noted = (lambda row, start, into, rows=rows: note(rows[row], start, into)) if note else None
+            found, left = self.merge_rows(
+                symbols[begin[rows][:, None] + np.arange(size)], keys[rows] if keys is not None else None, noted)
+            many[rows] = left.sum(axis=1)
+            parts.append((rows, found, left))
+        starts = np.concatenate(([0], np.cumsum(many)))
         flat = np.empty(starts[-1], np.int32)
-        for rows, found, lengths in parts:
-            inside = np.arange(found.shape[1])[None, :] < lengths[:, None]
-            flat[(starts[rows][:, None] + np.arange(found.shape[1]))[inside]] = found[inside]
+        for rows, found, left in parts:
+            flat[(starts[rows][:, None] + np.cumsum(left, axis=1) - 1)[left]] = found[left]
         return self.spelled(flat, starts)
 
     def spelled(self, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,12 +309,19 @@ class Encoder:
         keys = np.repeat(np.array([k for k, _ in texts], np.int64).astype(np.uint64), counts)
         number = (np.arange(len(words)) - np.repeat(ends[:-1], counts)).astype(np.uint64)
         row_key = mixed(mixed(keys * GOLDEN + self.seed) + number * OTHER)
-        kinds, outcome = np.unique(self.outcomes(distinct.tolist(), code, row_key), return_inverse=True)
-        _, sample, of_word = np.unique(code * len(kinds) + outcome, return_index=True, return_inverse=True)
-        ids, starts = self.encode_words(distinct[code[sample]].tolist(), row_key[sample])
-        sizes = np.diff(starts)[of_word]
+        words_of = distinct.tolist()
+        ids, starts, *looked_at = self.plain(words_of)
+        begin, sizes = starts[code], np.diff(starts)[code]
+        own = np.array([len(w) > LONG_WORD for w in words_of])[code]
+        if self.skip_below:
+            own[self.deviating(code, row_key, *looked_at)] = True
+        rest = np.flatnonzero(own)
+        if len(rest):
+            more, at = self.encode_words([words_of[c] for c in code[rest].tolist()], row_key[rest])
+            begin[rest], sizes[rest] = len(ids) + at[:-1], np.diff(at)
+            ids = np.concatenate((ids, more))
         places = np.concatenate(([0], np.cumsum(sizes)))
-        out = ids[np.repeat(starts[of_word] - places[:-1], sizes) + np.arange(places[-1])]
+        out = ids[np.repeat(begin - places[:-1], sizes) + np.arange(places[-1])]
         return out, places[ends]
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
@@ -394,13 +391,31 @@ def stretches(text: str) -> Iterator[str]:
         start = end
 
 
+def numbered_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, text, text_key and the number of the copy of each row among those of the same id and text.
+
+    Rows are counted by id and a hash of the text; those that are alone stay where they
+    are. Of the others one text per id travels, and is then repeated in blocks of copies.
+    """
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+    counts = materialize(keyed.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"), "n"), "repeated-rows")
+    same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_"))
+    if counts.isEmpty():
+        return keyed.withColumn("copy", F.lit(1))
+    repeated = small_side(counts)
+    alone = keyed.join(repeated, same, "left_anti").withColumn("copy", F.lit(1))
+    texts = keyed.join(repeated, same).groupBy("doc_id", "text_key").agg(F.first("text").alias("text"), F.first("n").alias("n"))
+    blocks = texts.withColumn("block", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})"))).repartition("doc_id", "text_key", "block")
+    copies = F.expr(f"transform(sequence(block * {COPIES} + 1, least(n, (block + 1) * {COPIES})), k -> int(k))")
+    return alone.unionByName(blocks.withColumn("copy", F.explode(copies)).select("doc_id", "text", "text_key", "copy"))
+
+
 def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id, ids and lossless per document. The vocabulary is read once and travels with the job."""
     encoder = Encoder(load_vocabulary(model), dropout, seed)
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    copy = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("text_key"))
-    draw = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_key")), copy)
-    return in_small_batches(keyed.select("doc_id", draw.alias("draw"), "text")).mapInArrow(
+    draw = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_key")), "copy")
+    return in_small_batches(numbered_copies(docs).select("doc_id", draw.alias("draw"), "text")).mapInArrow(
         encoder.batches, "doc_id long, ids array<int>, lossless boolean")
 
 

@@ -223,6 +223,42 @@ def test_every_occurrence_and_copy_is_drawn_by_itself(spark, vocabulary):
     assert len({tuple(r.ids) for r in pieces.encode_documents(docs).collect()}) == 4
 
 
+def agenda(encoder, word, row_key):
+    """Merges of one word straight from the definition, drawing for each candidate as it comes up."""
+    words = encoder.words
+    ids = [int(words.chars[ord(c)]) for c in word]
+    starts = list(range(len(ids)))
+    while True:
+        found = []
+        for k in range(len(ids) - 1):
+            into = int(words.look_up(np.array([ids[k]]), np.array([ids[k + 1]]))[0])
+            if into >= 0 and not (encoder.skip_below and encoder.skipped(
+                    np.array([row_key]), np.array([starts[k]]), np.array([into]))[0]):
+                found.append((int(words.rank[into]), k, into))
+        if not found:
+            return ids
+        _, k, into = min(found)
+        ids[k:k + 2], starts[k:k + 2] = [into], [starts[k]]
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.6])
+def test_dropout_agrees_with_a_plain_agenda(vocabulary, dropout):
+    encoder = pieces.Encoder(vocabulary, dropout)
+    words = " the theatre counterrevolutionary internationalisation in a aaaaaaa the the recombination\u00e4\u00f6 the x".split(" ")[1:] * 12
+    text = " " + " ".join(words)
+    keys = pieces.mixed(pieces.mixed(np.full(len(words), 5, np.uint64) * pieces.GOLDEN + encoder.seed) + np.arange(len(words), dtype=np.uint64) * pieces.OTHER)
+    want = [n for word, key in zip(words, keys, strict=True) for n in agenda(encoder, " " + word, key)]
+    assert encoder.encode([(5, text)])[0].tolist() == want
+
+
+def test_copies_are_numbered_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "COPIES", 3)
+    docs = spark.createDataFrame([(1, "a")] * 8 + [(None, "b")] * 4 + [(None, None)] * 2 + [(2, "a"), (None, "c")], "doc_id long, text string")
+    got = rows(pieces.numbered_copies(docs).select("doc_id", "text", "copy"))
+    want = [(1, "a", n + 1) for n in range(8)] + [(None, "b", n + 1) for n in range(4)] + [(None, None, 1), (None, None, 2), (2, "a", 1), (None, "c", 1)]
+    assert got == sorted(want, key=repr)
+
+
 def test_documents_are_encoded_and_decoded(spark):
     texts = [(n, t, "x") for n, t in enumerate(TEXTS)] + [(50, None, "x"), (None, "no id", "x"), (0, TEXTS[0], "x")]
     docs = spark.createDataFrame(texts, "doc_id long, text string, ids string")
