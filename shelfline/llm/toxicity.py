@@ -127,12 +127,28 @@ def featured(texts: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
         rows.column("id").to_pylist(), rows.column("features"), rows.column("shouts").to_pylist(), strict=True)}
 
 
+def counts_by_label(features: list[np.ndarray], goal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, texts with it, toxic ones of them) in order, from sorted features of texts.
+
+    Hashes are counted a range at a time, so that the driver holds one copy of the
+    sample and of a sixteenth part of it.
+    """
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))]
+    for part in range(16):
+        low, high = np.uint64(part << 60), np.uint64((part << 60) + (1 << 60) - 1)
+        slices_ = [f[np.searchsorted(f, low):np.searchsorted(f, high, side="right")] for f in features]
+        every, total = np.unique(np.concatenate([np.zeros(0, np.uint64), *slices_]), return_counts=True)
+        known, toxic = np.unique(
+            np.concatenate([np.zeros(0, np.uint64), *[f for f, g in zip(slices_, goal, strict=True) if g]]), return_counts=True)
+        hits = np.zeros(len(every))
+        hits[np.searchsorted(every, known)] = toxic
+        found.append((every, total, hits))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 def evidence(features: list[np.ndarray], goal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per feature: texts of either label with it, and the log-likelihood ratio of its tie to the label (signed)."""
-    known, toxic = np.unique(np.concatenate([f for f, g in zip(features, goal, strict=True) if g] or [np.zeros(0, np.uint64)]), return_counts=True)
-    every, total = np.unique(np.concatenate(features or [np.zeros(0, np.uint64)]), return_counts=True)
-    hits = np.zeros(len(every))
-    hits[np.searchsorted(every, known)] = toxic
+    every, total, hits = counts_by_label(features, goal)
     rate = np.clip(goal.mean() if len(goal) else 0.5, 1e-6, 1 - 1e-6)
     share = np.clip(hits / np.maximum(total, 1), 1e-9, 1 - 1e-9)
     ratio = hits * np.log(share / rate) + (total - hits) * np.log((1 - share) / (1 - rate))
@@ -262,9 +278,10 @@ def train_linear(features: list[np.ndarray], goal: np.ndarray, stands_for: np.nd
     rows, columns = [], []
     for n, f in enumerate(features):
         at = positions(known, f)
-        rows.append(np.full(len(at), n))
-        columns.append(at)
-    row, column = np.concatenate(rows or [np.zeros(0, int)]), np.concatenate(columns or [np.zeros(0, int)])
+        rows.append(np.full(len(at), n, np.int32))
+        columns.append(at.astype(np.int32))
+    row, column = np.concatenate(rows or [np.zeros(0, np.int32)]), np.concatenate(columns or [np.zeros(0, np.int32)])
+    del rows, columns
     weights, rate = np.zeros(len(known)), float(np.clip(np.average(goal, weights=stands_for) if len(goal) else 0.05, 1e-3, 1 - 1e-3))
     bias = float(np.log(rate / (1 - rate)))
     speed, bias_speed = np.full(len(known), 1e-6), 1e-6
@@ -306,6 +323,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Linear:
     voters = build_voters(features, goal)
     marked = np.array([voters.mask_of(f, s) for f, s in zip(features, shouts, strict=True)], int)
     del features
+    pa.default_memory_pool().release_unused()
     keyed = in_small_batches(docs).select(
         (fold(F.col("doc_id"), FOLDS) != HELD_OUT).alias("open"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("key"), "text")
     voted = materialize(keyed.mapInArrow(voters.vote, "open boolean, key long, mask int"), "votes")
@@ -324,7 +342,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Linear:
         here = (goal >= 0.5) == side
         stands_for[here] = there[side] / max(here.sum(), 1)
     # Weights of mean one: the penalty means the same in a corpus of any size.
-    return train_linear([found[k][0] for k in known], goal, stands_for / max(stands_for.mean() if len(known) else 1, 1e-12))
+    model = train_linear([found[k][0] for k in known], goal, stands_for / max(stands_for.mean() if len(known) else 1, 1e-12))
+    del found
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def keeper(model: Linear) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
