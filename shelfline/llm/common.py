@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,6 +38,26 @@ def in_small_batches(texts: DataFrame, rows: int = 1000) -> DataFrame:
     return texts
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def frees_memory(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function over Arrow batches whose worker gives unused memory back when its task ends.
+
+    Workers are kept for the next stage and would hold what the largest batch took.
+    """
+    def running(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return running
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, where ``value`` is worked out once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

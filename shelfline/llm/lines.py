@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import in_small_batches, table
+from shelfline.llm.common import frees_memory, in_small_batches, table
 from shelfline.llm.textbytes import BLOCK_BYTES, GOLDEN, SPACES, WordHasher, mixed
 from shelfline.session import materialize
 
@@ -181,9 +181,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select("place", "text_key", "text")
     # Written, so that the join below is one of two plain shuffles, whose hot lines Spark can split.
-    repeated = materialize(texts.mapInArrow(post_fingerprints, "fingerprint long").groupBy("fingerprint").agg(
+    repeated = materialize(texts.mapInArrow(frees_memory(post_fingerprints), "fingerprint long").groupBy("fingerprint").agg(
         F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint"), "repeated-fingerprints")
-    around = materialize(texts.mapInArrow(post, POSTS).join(repeated, "fingerprint").select(
+    around = materialize(texts.mapInArrow(frees_memory(post), POSTS).join(repeated, "fingerprint").select(
         "place", "text_key", F.explode("windows").alias("w")).select("place", "text_key", "w.*"), "windows")
     source = materialize(around.groupBy("hash").agg(
         F.min(F.struct("place", "text_key", "at")).alias("s"), F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", "s"), "first-places")

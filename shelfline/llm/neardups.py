@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import components, forest, in_block_pairs, in_small_batches, runs, small_side, table
+from shelfline.llm.common import components, forest, frees_memory, in_block_pairs, in_small_batches, runs, small_side, table
 from shelfline.llm.textbytes import GOLDEN, WordHasher, mixed, shingle_set
 from shelfline.session import materialize
 
@@ -173,7 +173,7 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
         "node", "short", "p.token", "p.n")
     keys = ["token", "left_", "right_"]
     lists = in_block_pairs(posted, "node", F.ceil(F.col("n") / LIST_BLOCK)).select("node", "short", *keys)
-    links = lists.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(list_links, "a binary, b binary")
+    links = lists.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(frees_memory(list_links), "a binary, b binary")
     return components(links)
 
 
@@ -194,11 +194,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.ceil(F.count(F.lit(1)) / GROUP_BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
     # Whole texts stay where they are while the ids looked for are few.
     wanted = keyed.select("doc_id", "text").join(small_side(members.select("rep_id")), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
-    sets = wanted.select("text").mapInArrow(full_sets, "node binary, shingles binary")
+    sets = wanted.select("text").mapInArrow(frees_memory(full_sets), "node binary, shingles binary")
     keys = ["root", "left_", "right_"]
     placed = in_block_pairs(members.join(sizes, "root").select("node", "root", "blocks"), "node", F.col("blocks"))
     compared = sets.join(placed, "node").select("node", "shingles", *keys)
-    links = compared.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(confirm, "a binary, b binary")
+    links = compared.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(frees_memory(confirm), "a binary, b binary")
     labels = components(links)
     rows = signed.select("doc_id", "text_key", "n_shingles", "node").join(labels, "node", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("root", "node").alias("component"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import in_small_batches, small_side, table
+from shelfline.llm.common import frees_memory, in_small_batches, small_side, table
 from shelfline.llm.textbytes import GOLDEN, mixed
 from shelfline.session import materialize
 
@@ -416,7 +416,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPO
     encoder = Encoder(load_vocabulary(model), dropout, seed)
     draw = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_key")), "copy")
     return in_small_batches(numbered_copies(docs).select("doc_id", draw.alias("draw"), "text")).mapInArrow(
-        encoder.batches, "doc_id long, ids array<int>, lossless boolean")
+        frees_memory(encoder.batches), "doc_id long, ids array<int>, lossless boolean")
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import in_small_batches, table
+from shelfline.llm.common import frees_memory, in_small_batches, table
 from shelfline.llm.quality import scores, sigmoid, slices
 from shelfline.llm.samples import fold, picked_labels
 from shelfline.llm.textbytes import WordHasher, is_no_letter
@@ -120,7 +120,7 @@ def features_and_shouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 def featured(texts: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
     """By id, the features and pattern votes of (id, text); of several texts of an id, those of one set by the features."""
-    found = texts.mapInArrow(features_and_shouts, "id long, features binary, shouts int")
+    found = texts.mapInArrow(frees_memory(features_and_shouts), "id long, features binary, shouts int")
     one = found.groupBy("id").agg(F.min_by(F.struct("features", "shouts"), F.xxhash64("features", "shouts")).alias("s"))
     rows = one.select("id", "s.*").toArrow()
     return {k: (np.frombuffer(f.as_buffer(), np.uint64), s) for k, f, s in zip(
@@ -326,7 +326,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> Linear:
     pa.default_memory_pool().release_unused()
     keyed = in_small_batches(docs).select(
         (fold(F.col("doc_id"), FOLDS) != HELD_OUT).alias("open"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("key"), "text")
-    voted = materialize(keyed.mapInArrow(voters.vote, "open boolean, key long, mask int"), "votes")
+    voted = materialize(keyed.mapInArrow(frees_memory(voters.vote), "open boolean, key long, mask int"), "votes")
     counted = voted.groupBy("mask").agg(F.count(F.lit(1)).alias("n")).collect()
     masks = np.array([r["mask"] for r in counted], int)
     model = fit_label_model(masks, np.array([r["n"] for r in counted], float), *marks(masks, marked, goal))
@@ -360,7 +360,7 @@ def keeper(model: Linear) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not hold toxic, with all their columns."""
-    return docs.mapInArrow(keeper(fit_toxicity(docs, labels)), docs.schema)
+    return docs.mapInArrow(frees_memory(keeper(fit_toxicity(docs, labels))), docs.schema)
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
