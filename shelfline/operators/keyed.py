@@ -40,6 +40,13 @@ def spread_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     return df.withColumn("_deal", dealt).join(copies, [key, "_deal"], how).drop("_deal")
 
 
+def map_increment(raw: DataFrame, columns: list[str], nk: Column | None = None,
+                  mapping: dict[str, Column] | None = None) -> DataFrame:
+    """An increment in the columns of its table: natural key built, columns rewritten."""
+    fresh = raw.withColumn("nk", nk) if nk is not None else raw
+    return fresh.select(*[(mapping or {}).get(name, F.col(name)).alias(name) for name in columns])
+
+
 def merge_increment(raw: DataFrame, target: DataFrame, key: list[str],
                     order_by: str | None = None, nk: Column | None = None,
                     mapping: dict[str, Column] | None = None,
@@ -51,11 +58,8 @@ def merge_increment(raw: DataFrame, target: DataFrame, key: list[str],
     ``order_by`` the increment wins over the table.
     """
     columns = target.columns
-    fresh = raw.withColumn("nk", nk) if nk is not None else raw
-    if mapping:
-        fresh = fresh.select(*[mapping.get(name, F.col(name)).alias(name) for name in columns])
     both = (
-        fresh.select(*columns).withColumn("_fresh", F.lit(1))
+        map_increment(raw, columns, nk, mapping).withColumn("_fresh", F.lit(1))
         .unionByName(target.withColumn("_fresh", F.lit(0)))
     )
     leading = [order_by, "_fresh"] if order_by else ["_fresh"]

@@ -6,9 +6,11 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions.scalars import natural_key, parse_timestamp, true_flag
 from shelfline.operators.keyed import merge_increment
+from shelfline.operators.upsert import KeyedTable
 
 
 class MergeSpec(NamedTuple):
@@ -65,12 +67,22 @@ def update_stamp_key(parts: tuple[str, ...]) -> Column:
         parse_timestamp(F.col(part)) if part == "updatedat" else F.col(part) for part in parts])
 
 
+def merge_columns(spec: MergeSpec) -> dict:
+    """How an increment's natural key and flags are built."""
+    return {
+        "nk": update_stamp_key(spec.nk) if spec.nk else None,
+        "mapping": {flag: true_flag(F.col(flag)) for flag in spec.flags},
+    }
+
+
+def keyed_table(name: str, path: str, schema: T.StructType, buckets: int) -> KeyedTable:
+    """One of the listed tables, stored by key."""
+    spec = MERGES[name]
+    return KeyedTable(path, schema, spec.key, spec.order_by, buckets)
+
+
 def merge_table(name: str, raw: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New content and current view of one of the listed tables."""
     spec = MERGES[name]
     return merge_increment(
-        raw, target, list(spec.key), spec.order_by,
-        nk=update_stamp_key(spec.nk) if spec.nk else None,
-        mapping={flag: true_flag(F.col(flag)) for flag in spec.flags},
-        is_act=spec.is_act,
-    )
+        raw, target, list(spec.key), spec.order_by, is_act=spec.is_act, **merge_columns(spec))

@@ -323,6 +323,9 @@ def rollup(measures: list[Measure], reach: Reach) -> str:
 LATEST = "QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1"
 ORDER_TIES = ("o_orderdate DESC, o_orderkey DESC, o_orderstatus DESC, o_totalprice DESC, o_orderpriority DESC")
 MERGED_ORDERS = f"SELECT * FROM o {LATEST.format(key='o_custkey', order=ORDER_TIES)}"
+STATUS_TIES = ("o_orderdate DESC, CASE WHEN o_orderdate >= DATE '2000-01-01' THEN o_orderstatus END DESC, "
+               "o_orderkey DESC")
+BATCH_TIES = "CASE WHEN o_orderdate >= DATE '2000-01-01' THEN year(o_orderdate) ELSE 0 END DESC, o_orderkey DESC"
 RANGE_8 = "SELECT max(sell_date) - 7 AS a, max(sell_date) AS b FROM tickets"
 LINE_KEYS = "store, checkout_number, ticket_number, sell_date, ticket_time, transaction_type, item, purchase_price, num_acp, num_cde"
 LINE_SUMS = ("round(sum(total_cost), 6) AS total_cost, round(sum(total_cost_wo_tax), 6) AS total_cost_wo_tax, "
@@ -382,6 +385,13 @@ ORACLES: dict[str, str] = {
         SELECT CAST(year(sell_date) AS INTEGER) AS year, CAST(month(sell_date) AS INTEGER) AS month, store,
                count(*) AS tickets, sum(item_qty) AS item_qty
         FROM tickets WHERE year(sell_date) >= 1999 OR online GROUP BY ALL""",
+    "upsert_batches": f"SELECT * FROM o {LATEST.format(key='o_custkey', order=STATUS_TIES)}",
+    "upsert_newest_batch": f"""SELECT * FROM o {LATEST.format(key='o_custkey', order=BATCH_TIES)}""",
+    "upsert_untouched": f"SELECT *, true AS only_touched FROM o {LATEST.format(key='o_custkey', order=ORDER_TIES)}",
+    "dump_resumed": """
+        SELECT o_orderkey, o_custkey, o_orderdate, CAST(o_orderdate >= DATE '2000-01-01' AS INTEGER) AS dump,
+               count(*) OVER (PARTITION BY o_orderdate >= DATE '2000-01-01') AS rows_written
+        FROM o""",
     "current_view": "SELECT o_orderkey, o_custkey, o_orderdate FROM o WHERE o_orderstatus <> 'F'",
     "incremental_dump_slice": """
         SELECT o_orderkey, o_custkey, o_orderdate, count(*) OVER () AS rows_written

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shelfline.functions import jsondocs, scalars, weeks
 from shelfline.operators import aggregates as agg
-from shelfline.operators import asof, clustering, history, keyed, products, reconcile
+from shelfline.operators import asof, clustering, history, keyed, products, reconcile, upsert
 from shelfline.operators import densify as dense
 from shelfline.operators import features as feat
 from shelfline.operators import hierarchy as hier
@@ -93,6 +93,69 @@ def range_replace_roundtrip(i: Inputs) -> DataFrame:
     return tables.read_table(i.spark, path, ["year", "store", "online", "tickets", "item_qty"])
 
 
+# Folders of the tables that the queries lay out by key.
+BUCKETS = 64
+
+
+def _keyed_orders(i: Inputs, order_by: str | None) -> upsert.KeyedTable:
+    """The target's orders, one per customer, stored by key."""
+    target = i.order_target()
+    table = upsert.KeyedTable(scratch_path(i.spark, "orders-by-key"), target.schema, ("o_custkey",), order_by, BUCKETS)
+    upsert.create_table(target, table)
+    return table
+
+
+@register
+def upsert_batches(i: Inputs) -> DataFrame:
+    """Batches by order status, merged by the order field and consumed."""
+    table, raw = _keyed_orders(i, "o_orderdate"), scratch_path(i.spark, "order-batches")
+    for status in ("P", "O", "F"):
+        upsert.add_batch(i.order_increment().where(F.col("o_orderstatus") == status), raw, status)
+        if status == "O":
+            upsert.merge_batches(i.spark, raw, table)
+    upsert.merge_batches(i.spark, raw, table)
+    return table.read(i.spark)
+
+
+@register
+def upsert_newest_batch(i: Inputs) -> DataFrame:
+    """Batches by year without an order field: the newest batch that has a key wins, in whatever order they are merged."""
+    table, raw = _keyed_orders(i, None), scratch_path(i.spark, "order-batches")
+    last = i.order_increment().agg(F.max(F.year("o_orderdate"))).first()[0]
+    for year in [*range(CUT.year + 1, last + 1), CUT.year]:
+        upsert.add_batch(i.order_increment().where(F.year("o_orderdate") == year), raw, str(year))
+        upsert.merge_batches(i.spark, raw, table)
+    return table.read(i.spark)
+
+
+@register
+def upsert_untouched(i: Inputs) -> DataFrame:
+    """The last day merged into all earlier ones; whether files changed only in folders of that day's customers."""
+    orders = i.orders()
+    last = orders.agg(F.max("o_orderdate")).first()[0]
+    earlier, day = orders.where(F.col("o_orderdate") < last), orders.where(F.col("o_orderdate") == last)
+    table = upsert.KeyedTable(
+        scratch_path(i.spark, "orders-by-key"), orders.schema, ("o_custkey",), "o_orderdate", BUCKETS)
+    upsert.create_table(earlier, table)
+    before = tables.files_below(i.spark, table.path)
+    upsert.upsert(day, table)
+    after = tables.files_below(i.spark, table.path)
+    stored = table.stored(i.spark)
+    hit = {row[0] for row in stored.where(F.col("o_orderdate") == last).select(table.bucket).distinct().collect()}
+    changed = {int(name.partition("=")[2]) for name in after if before.get(name) != after[name]}
+    return table.read(i.spark).withColumn("only_touched", F.lit(changed == hit and set(before) <= set(after)))
+
+
+@register
+def dump_resumed(i: Inputs) -> DataFrame:
+    """Two dumps, the second from where the first ended: every row once."""
+    path = scratch_path(i.spark, "orders-dumps")
+    written = [tables.resume_dump(df, path, "o_orderdate") for df in (i.order_target(), i.orders())]
+    return tables.read_table(i.spark, path).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "dump",
+        F.get(F.array(*[F.lit(n).cast("bigint") for n in written]), F.col("dump")).alias("rows_written"))
+
+
 @register
 def current_view(i: Inputs) -> DataFrame:
     versions = i.orders().withColumn(

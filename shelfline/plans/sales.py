@@ -17,9 +17,17 @@ from shelfline.operators.densify import densify_prices
 from shelfline.operators.history import scd2_merge
 from shelfline.operators.products import shred_products
 from shelfline.operators.reconcile import reconcile_partitions
-from shelfline.plans.merges import MERGES, merge_table
+from shelfline.operators.upsert import KeyedTable, merge_batches
+from shelfline.plans.merges import MERGES, merge_columns, merge_table
 from shelfline.session import materialize
-from shelfline.sources.tables import current_view, read_table, replace_partitions, replace_range, replace_table
+from shelfline.sources.tables import (
+    current_view,
+    read_table,
+    recover_table,
+    replace_partitions,
+    replace_range,
+    replace_table,
+)
 
 # Weeks rebuilt on every run, by generation of the marts, and days reloaded daily.
 BASIC_REBUILD_WEEKS = 12
@@ -91,12 +99,23 @@ def extended_features(weekly: DataFrame, calendar: DataFrame, exceptions: DataFr
 
 def refresh_table(spark: SparkSession, name: str, raw_path: str, target_path: str) -> DataFrame:
     """Merge an increment into its table on storage; returns the current view."""
+    recover_table(spark, target_path)
     target = read_table(spark, target_path)
     merged, _ = merge_table(name, read_table(spark, raw_path), target)
     replace_table(merged, target_path)
     return current_view(read_table(spark, target_path), target.columns, MERGES[name].is_act)
 
 
+def refresh_from_batches(spark: SparkSession, name: str, raw_path: str, table: KeyedTable) -> DataFrame:
+    """Merge the pending batches into a table stored by key and empty them; returns the current view.
+
+    Only the folders that hold keys of the batches are read and replaced.
+    """
+    recover_table(spark, table.path)
+    merge_batches(spark, raw_path, table, **merge_columns(MERGES[name]))
+    return current_view(table.read(spark), table.schema.names, MERGES[name].is_act)
+
+
 def refresh_tickets(spark: SparkSession, raw_path: str, ods_path: str) -> DataFrame:
     """Reload the ticket days that differ from their raw lines; returns the table."""
     raw, ods = read_table(spark, raw_path), read_table(spark, ods_path)
