@@ -11,7 +11,7 @@ from shelfline.functions.exact import exact_mean, exact_sum
 from shelfline.functions.quantile import exact_quantile
 from shelfline.functions.scalars import mean_of, no_value
 from shelfline.functions.weeks import WEEK_KEYS, week_columns, week_number
-from shelfline.operators.keyed import spread_join
+from shelfline.operators.keyed import heavy_join
 
 # The columns that tell ticket lines apart.
 TICKET_LINE_KEYS = [
@@ -75,7 +75,7 @@ def outlier_caps(offline: DataFrame, online: DataFrame, min_n: int = 10, q: floa
 
 def cap_quantities(tickets: DataFrame, caps: DataFrame) -> DataFrame:
     """Add raw and capped quantity; items without a cap keep theirs."""
-    joined = spread_join(tickets, caps.select("item", "item_qty_max_offline"), "item")
+    joined = heavy_join(tickets, caps.select("item", "item_qty_max_offline"), ["item"])
     return joined.select(
         *tickets.columns,
         F.col("item_qty").alias("item_qty_raw"),

@@ -9,7 +9,7 @@ from shelfline.functions.exact import exact_mean, exact_sum
 from shelfline.functions.scalars import key_prefix, mean_of, natural_key
 from shelfline.functions.weeks import WEEK_KEYS, week_columns
 from shelfline.operators.aggregates import scale_by_max
-from shelfline.operators.keyed import spread_join
+from shelfline.operators.keyed import heavy_join
 
 # Attribute number under which an item's stop date is kept.
 STOP_DATE_UDA = 6
@@ -33,14 +33,14 @@ def agg_tickets_by_store(daily: DataFrame, item_dates: DataFrame, attributes: Da
     stops = item_dates.where(F.col("uda_id") == STOP_DATE_UDA).select("item", "uda_date")
     still_sold = F.col("uda_date").isNull() | (F.col("uda_date") > F.date_add("sell_date", STOP_MARGIN_DAYS))
     weekly = (
-        spread_join(daily, stops, "item").where(still_sold)
+        heavy_join(daily, stops, ["item"]).where(still_sold)
         .groupBy(*week_columns(F.col("sell_date")), "store", "item").agg(
             exact_sum(F.col("item_qty")).alias("week_item_qty"),
             exact_sum(F.col("purchase_price")).alias("sum_purchase_price"),
             F.count("item_qty").alias("count_tickets"),
         )
     )
-    return spread_join(weekly, attributes, "item").select(
+    return heavy_join(weekly, attributes, ["item"]).select(
         *WEEK_KEYS, "store", "item", "dept_class_subclass", "model",
         "week_item_qty", "sum_purchase_price", "count_tickets",
     )
@@ -94,14 +94,17 @@ def attach_level_averages(rows: DataFrame, by_class: DataFrame, by_subclass: Dat
     """Add the three scaled level means to weekly item or store-item rows.
 
     Rows without attributes get a key of their own that matches nothing, so
-    that they spread over the join's tasks instead of meeting in one.
+    that they spread over the join's tasks instead of meeting in one. A level that
+    holds very many items, like model -1, is joined by broadcast.
     """
     alone = F.concat(F.lit("no attributes of "), F.col("item").cast("string"))
     joined = rows
     for level, averages in (("class", by_class), ("subclass", by_subclass), ("model", by_model)):
         name, key = LEVELS[level]
         side = averages.where(F.col(name).isNotNull()).withColumnRenamed(name, "_level")
-        joined = joined.withColumn("_level", F.coalesce(key(), alone)).join(side, ["week_num", "_level"], "left")
+        level_key = F.coalesce(key(), alone)
+        joined = heavy_join(joined.withColumn("_level", level_key), side, ["week_num", "_level"],
+                            counted=rows.select("week_num", level_key.alias("_level")))
     out = [f"avg_item_qty_by_{level}_scaled" for level in LEVELS]
     return joined.select(*rows.columns, *out)
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.sources.tables import current_view
 
+# A key with more than this part of all rows is joined apart from the others.
+HEAVY_PARTS = 1000
+
 
 def top_n_by(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of every key.
@@ -27,17 +32,45 @@ def latest_by(df: DataFrame, keys: list[str], order_by: list[str] | None = None)
     return top_n_by(df, keys, order or [F.lit(1)], 1)
 
 
-def spread_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                spread: int = 8) -> DataFrame:
+def within_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of a table is below its broadcast threshold."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
+def heavy_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
+               counted: DataFrame | None = None, parts: int = HEAVY_PARTS) -> DataFrame:
     """Join a lookup table of one row per key to rows of which one key may hold very many.
 
-    A key's rows are dealt out over ``spread`` tasks by a hash of their content,
-    and the lookup row is sent to each of them. A lookup small enough to be
-    broadcast by size still is.
+    The rows are counted by key. Keys with more than one ``parts``-th of all rows, fewer
+    than ``parts`` in number, get their lookup rows by broadcast and then stay spread as
+    their input tasks hold them, equal rows too; a missing key that is that frequent is
+    one of them. All other rows meet their lookup row by key. ``counted`` may give the
+    keys of ``df`` where that is cheaper to read. A lookup that Spark broadcasts by its
+    size anyway needs none of this.
     """
-    dealt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)).cast("int")
-    copies = lookup.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return df.withColumn("_deal", dealt).join(copies, [key, "_deal"], how).drop("_deal")
+    if within_broadcast(lookup):
+        return df.join(lookup, keys, how)
+    values = [name for name in lookup.columns if name not in keys]
+    sizes = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = sizes.where(F.col("_rows") * parts > sizes.agg(F.sum("_rows")).scalar()).select(*keys)
+    sides = lookup.select(*keys, F.struct(*values).alias("_found"))
+    held = sides.join(F.broadcast(heavy), keys)
+    hot = heavy.join(F.broadcast(held), keys, "left").select(
+        *[F.col(key).alias(f"_hot_{key}") for key in keys], F.col("_found").alias("_hot"), F.lit(True).alias("_is_hot"))
+    same = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in keys]
+    marked = df.join(F.broadcast(hot), reduce(Column.__and__, same), "left")
+    # Heavy rows have their values: they are dealt by input task, which a repeated task deals alike.
+    dealt = marked.withColumn("_deal", F.when(F.col("_is_hot"), F.spark_partition_id() + 1).otherwise(0))
+    # Always 0, but not a constant that the optimizer would take out of the join's keys.
+    plain = sides.withColumn("_deal", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
+    joined = dealt.join(plain, [*keys, "_deal"], "left")
+    found = F.when(F.col("_is_hot"), F.col("_hot")).otherwise(F.col("_found"))
+    if how == "inner":
+        joined = joined.where(found.isNotNull())
+    others = [name for name in df.columns if name not in keys]
+    return joined.select(*keys, *others, *[found[name].alias(name) for name in values])
 
 
 def map_increment(raw: DataFrame, columns: list[str], nk: Column | None = None,

@@ -8,11 +8,13 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfline.operators import aggregates as agg
 from shelfline.operators.asof import asof_join
-from shelfline.operators.keyed import latest_by
+from shelfline.operators import hierarchy as hier
+from shelfline.operators.keyed import heavy_join, latest_by
 
 HOT = 7
 
@@ -75,3 +77,60 @@ def test_latest_line_of_a_hot_item(spark, lines):
     got = latest_by(df, ["item"], ["sell_date"])
     assert got.count() == lines.item.nunique()
     assert got.where(F.col("item") == HOT).first().sell_date == lines[lines.item == HOT].sell_date.max()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """No table counts as small, and no tasks are merged, so that their rows can be counted."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def largest_task(df):
+    return df.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("parts", [3, 50, 10 ** 6])
+def test_heavy_join_is_a_join(spark, no_broadcast, how, parts):
+    df = spark.createDataFrame(
+        [(1, n) for n in range(50)] + [(2, 0), (2, 0), (3, 1)] + [(None, n) for n in range(40)] + [(5, 1)] * 60, "k int, n int")
+    lookup = spark.createDataFrame([(1, "a", 0.5), (3, "c", None), (4, "d", 1.0), (None, "e", 2.0)], "k int, v string, x double")
+    assert rows(heavy_join(df, lookup, ["k"], how, parts=parts)) == rows(df.join(lookup, "k", how))
+    empty = df.where("n < 0")
+    assert heavy_join(empty, lookup, ["k"], how, parts=parts).count() == 0
+    assert rows(heavy_join(df, lookup.where("k > 9"), ["k"], how, parts=parts)) == rows(df.join(lookup.where("k > 9"), "k", how))
+
+
+def test_equal_lines_of_a_hot_item_are_spread(spark, no_broadcast):
+    """A third of all lines is one and the same line, another third has no item."""
+    line = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).cast("long")
+    lines = spark.range(0, 30000, 1, 64).select(line.alias("item"), F.lit(1.0).alias("item_qty"))
+    caps = spark.range(30000).select(F.col("id").alias("item"), F.lit(0.5).alias("item_qty_max_offline"))
+    got = agg.cap_quantities(lines, caps)
+    assert got.where("item_qty_processed = 0.5").count() == 20000
+    plain = lines.join(caps, "item", "left")
+    assert largest_task(plain) > 10000 and largest_task(got) < 8000
+
+
+def test_a_model_of_nine_tenths_of_all_items_is_spread(spark, no_broadcast):
+    """One week in which 90 % of the items are of model -1."""
+    model = F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("-1")
+    weekly = spark.range(0, 20000, 1, 64).select(
+        F.lit(1).alias("year"), F.lit(1).alias("week"), F.lit(1).alias("week_num"), F.col("id").alias("item"),
+        F.concat(F.lit("1|"), "id", F.lit("|3")).alias("dept_class_subclass"), model.alias("model"), F.lit(1.0).alias("q"))
+    level = lambda name, key: weekly.select("week_num", key.alias(name)).distinct()
+    by_class = level("dept_class", hier.class_key()).withColumn("avg_item_qty_by_class_scaled", F.lit(0.25))
+    by_subclass = level("dept_class_subclass", F.col("dept_class_subclass")).withColumn("avg_item_qty_by_subclass_scaled", F.lit(0.5))
+    by_model = level("model", F.col("model")).withColumn("avg_item_qty_by_model_scaled", F.when(F.col("model") == "-1", 0.75))
+    got = hier.attach_level_averages(weekly, by_class, by_subclass, by_model)
+    counts = dict(rows(got.groupBy("avg_item_qty_by_model_scaled").count()))
+    assert counts == {0.75: 18000, None: 2000}
+    assert got.where("avg_item_qty_by_class_scaled = 0.25 AND avg_item_qty_by_subclass_scaled = 0.5").count() == 20000
+    assert largest_task(got) < 6000
