@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.session import shared_folder
@@ -70,3 +70,42 @@ def cluster_check(weekly: DataFrame, value: str, index: str = "week_num", k: int
     return found.select(
         "item", ((F.col("label") >= 0) & (F.col("label") < k)).alias("in_range"),
         (F.get("distances", F.col("label")) <= F.array_min("distances") * (1 + 1e-9) + 1e-9).alias("nearest"))
+
+
+def certify(labelled: DataFrame, centres: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Per item, whether its label is part of a local optimum.
+
+    ``labelled`` holds item, label and place, ``centres`` label and centre, one row per
+    cluster. ``nearest``: no centre is nearer than the label's. ``centre_is_mean``: the
+    label's centre is the mean of the places of its members, within ``tolerance`` of
+    the largest value. All centres, k rows of one value per calendar week, go to every
+    item as one list.
+    """
+    parts = labelled.select("label", F.posexplode("place")).groupBy("label", "pos").agg(
+        F.avg("col").alias("mean"), F.max(F.abs("col")).alias("most"))
+    wanted = centres.select("label", F.posexplode("centre"))
+    off = F.abs(F.col("mean") - F.col("col")) <= tolerance * F.greatest(F.lit(1.0), F.col("most"))
+    means = parts.join(wanted, ["label", "pos"], "left").groupBy("label").agg(
+        F.min(F.coalesce(off, F.lit(False))).alias("centre_is_mean"))
+    all_centres = centres.agg(F.map_from_entries(F.collect_list(F.struct("label", "centre")))).scalar()
+
+    def distance(centre: Column) -> Column:
+        return F.aggregate(F.zip_with(centre, F.col("place"), lambda x, y: (x - y) * (x - y)),
+                           F.lit(0.0), lambda total, part: total + part)
+
+    measured = labelled.withColumn("_centres", all_centres).withColumn(
+        "_all", F.transform_values("_centres", lambda _, centre: distance(centre)))
+    own = F.element_at("_all", F.col("label"))
+    nearest = own <= F.array_min(F.map_values("_all")) * (1 + tolerance) + tolerance
+    return measured.select("item", "label", F.coalesce(nearest, F.lit(False)).alias("nearest")).join(
+        means, "label").select("item", "nearest", "centre_is_mean")
+
+
+def cluster_certificate(weekly: DataFrame, value: str, index: str = "week_num", k: int = CLUSTERS,
+                        starts: int = STARTS, iterations: int = ITERATIONS, seed: int = SEED) -> DataFrame:
+    """The certificate of the best of several k-means runs that went on until no centre moved."""
+    best, vectors = _best_model(weekly, value, index, k, starts, iterations, 0.0, seed)
+    labelled = best.transform(vectors).select(
+        "item", F.col("prediction").alias("label"), vector_to_array("features").alias("place"))
+    rows = [(n, [float(x) for x in centre]) for n, centre in enumerate(best.clusterCenters())]
+    return certify(labelled, weekly.sparkSession.createDataFrame(rows, "label int, centre array<double>"))

@@ -363,6 +363,8 @@ def filled(grid: str) -> str:
         WHERE g.sell_date >= f.item_first_sale_date"""
 
 
+PARTS["listed_tickets"] = "SELECT * FROM tickets WHERE store IN (1, 2, 3, 5, 8)"
+PARTS["listed_caps"] = PARTS["caps"].replace("FROM tickets", "FROM listed_tickets")
 PARTS["rebuilt"] = filled("rebuild_grid")
 
 # The same marts drawn from capped quantities, the weekly ones over the dense calendar.
@@ -493,6 +495,14 @@ ORACLES: dict[str, str] = {
         SELECT {LINE_KEYS}, {LINE_SUMS}, min(created_dttm) AS created_dttm, min(load_dttm) AS load_dttm
         FROM lines GROUP BY ALL""",
     "outlier_caps": f"SELECT item, {r('item_qty_max_offline', 'item_qty_max_online')} FROM caps",
+    "caps_of_stores": f"SELECT item, {r('item_qty_max_offline', 'item_qty_max_online')} FROM listed_caps",
+    "first_sale_of_stores": f"""
+        SELECT item, min(day) AS item_first_sale_date
+        FROM (SELECT item, sell_date AS day FROM tickets WHERE online OR store IN {STORE_LIST}
+              UNION ALL
+              SELECT l_partkey, CAST(o_orderdate AS DATE) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+              WHERE l_suppkey % 10 IN {STORE_LIST})
+        WHERE item > 0 GROUP BY item""",
     "capped_quantities": f"""
         SELECT sell_date, store, item, count(*) AS tickets_qty, round(sum(total_cost), 6) AS total_cost,
                round(sum(least(item_qty, item_qty_max_offline)), 6) AS item_qty,
@@ -628,6 +638,7 @@ ORACLES: dict[str, str] = {
         WHERE greatest(sa, sf) >= TIMESTAMP '2024-02-20' - INTERVAL 30 DAY""",
     "item_attr": "SELECT * FROM attrs",
     "cluster_items": "SELECT DISTINCT user_id AS item, true AS in_range, true AS nearest FROM events",
+    "cluster_certificate": "SELECT DISTINCT user_id AS item, true AS nearest, true AS centre_is_mean FROM events",
     "pivot_week_item": "SELECT user_id AS item, " + ", ".join(
         f"round(coalesce(sum(value) FILTER ({week('CAST(ts AS DATE)')} = {w}), 0), 6) AS w{w}" for w in WEEK_NAMES
     ) + " FROM events GROUP BY user_id",

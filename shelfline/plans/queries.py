@@ -417,6 +417,26 @@ def outlier_caps(i: Inputs) -> DataFrame:
     return agg.outlier_caps(i.tickets().where(~F.col("online")), i.tickets().where("online"))
 
 
+@register
+def caps_of_stores(i: Inputs) -> DataFrame:
+    tickets, path = i.tickets(), scratch_path(i.spark, "caps")
+    return sales.build_caps(i.spark, tickets.where(~F.col("online")), tickets.where("online"), path, STORES)
+
+
+@register
+def first_sale_of_stores(i: Inputs) -> DataFrame:
+    tickets = i.tickets()
+    ordered = (
+        i.table("lineitem", "l_orderkey", "l_partkey", "l_suppkey")
+        .join(i.table("orders", "o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .select((F.col("l_suppkey") % 10).cast("int").alias("store"), F.col("l_partkey").alias("item"),
+                F.to_date("o_orderdate").alias("sell_date"))
+    )
+    return sales.build_first_sale(
+        i.spark, tickets.where(~F.col("online")), tickets.where("online"), ordered,
+        scratch_path(i.spark, "first-sale"), STORES)
+
+
 @register
 def capped_quantities(i: Inputs) -> DataFrame:
     caps = agg.outlier_caps(i.tickets().where(~F.col("online")), i.tickets().where("online"))
@@ -750,3 +770,9 @@ def pivot_week_item(i: Inputs) -> DataFrame:
 def cluster_items(i: Inputs) -> DataFrame:
     """K-means labels differ from run to run of any engine; that each item has the nearest centre does not."""
     return clustering.cluster_check(i.user_weeks(), "value")
+
+
+@register
+def cluster_certificate(i: Inputs) -> DataFrame:
+    """With fewer clusters than items: each label is nearest, each centre the mean of its members."""
+    return clustering.cluster_certificate(i.user_weeks(), "value", k=8, starts=3)

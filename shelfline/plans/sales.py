@@ -7,8 +7,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfline.functions.scalars import wall_clock
+from shelfline.functions.scalars import int_or_zero, wall_clock
 from shelfline.functions.weeks import week_number
 from shelfline.operators import aggregates as agg
 from shelfline.operators import features as feat
@@ -136,6 +137,33 @@ def refresh_product_history(spark: SparkSession, attributes: DataFrame, families
     return read_table(spark, history_path)
 
 
+def with_item_numbers(online: DataFrame) -> DataFrame:
+    """Online rows with the item as a number, 0 where its text is none."""
+    if isinstance(online.schema["item"].dataType, T.StringType):
+        return online.withColumn("item", int_or_zero(F.col("item")))
+    return online
+
+
+def build_caps(spark: SparkSession, tickets: DataFrame, online: DataFrame, path: str, stores: list[int]) -> DataFrame:
+    """Build the table of quantity caps anew from the lines of the listed stores; returns it."""
+    listed = F.col("store").isin(stores)
+    replace_table(agg.outlier_caps(tickets.where(listed), with_item_numbers(online.where(listed))), path)
+    return read_table(spark, path)
+
+
+def build_first_sale(spark: SparkSession, tickets: DataFrame, online: DataFrame, earlier: DataFrame, path: str,
+                     stores: list[int], sentinel: dt.date | None = dt.date(1970, 1, 1)) -> DataFrame:
+    """Build the table of first sale days anew; returns it.
+
+    Shop lines and the earlier system's days count in the listed stores, online sales
+    wherever they are booked. ``sentinel`` is the day that stands for "unknown".
+    """
+    listed = F.col("store").isin(stores)
+    sources = [tickets.where(listed), with_item_numbers(online), earlier.where(listed)]
+    replace_table(agg.first_sale_date(sources, sentinel), path)
+    return read_table(spark, path)
+
+
 def refresh_days(spark: SparkSession, tickets: DataFrame, first_sale: DataFrame, daily_path: str,
                  calendar_path: str, today: dt.date, days: int = RELOAD_DAYS) -> DataFrame:
     """Reload the newest days of the day sales and of the dense calendar.

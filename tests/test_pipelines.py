@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import aggregates as agg
 from shelfline.operators import features as feat
 from shelfline.operators import hierarchy as hier
-from shelfline.operators.clustering import cluster_items, pivot_weeks
+from shelfline.operators.clustering import certify, cluster_items, pivot_weeks
 from shelfline.operators.densify import densify_prices
 from shelfline.operators.products import shred_products
 from shelfline.plans import sales
@@ -75,6 +75,29 @@ def test_pivot_and_clusters(spark):
     assert labels[1] == labels[2] != labels[3] == labels[4]
 
 
+def test_the_certificate_fails_for_shuffled_labels_and_moved_centres(spark):
+    labelled = spark.createDataFrame(
+        [(1, 0, [0.0, 1.0]), (2, 0, [0.0, 3.0]), (3, 1, [9.0, 9.0]), (4, 1, [11.0, 9.0])], "item int, label int, place array<double>")
+    centres = spark.createDataFrame([(0, [0.0, 2.0]), (1, [10.0, 9.0]), (2, [50.0, 50.0])], "label int, centre array<double>")
+    assert rows(certify(labelled, centres)) == [(n, True, True) for n in (1, 2, 3, 4)]
+    shuffled = labelled.withColumn("label", (F.col("item") % 2).cast("int"))
+    assert rows(certify(shuffled, centres)) == [(1, False, False), (2, True, False), (3, True, False), (4, False, False)]
+    moved = centres.withColumn("centre", F.when(F.col("label") == 1, F.array(F.lit(10.5), F.lit(9.0))).otherwise(F.col("centre")))
+    assert rows(certify(labelled, moved), "item", "centre_is_mean") == [(1, True), (2, True), (3, False), (4, False)]
+
+
+def test_caps_and_first_sales_of_listed_stores(spark, tmp_path):
+    schema = "store int, item {}, item_qty double, sell_date date"
+    day = lambda n: dt.date(2024, 1, n)
+    shops = spark.createDataFrame([(1, 7, 3.0, day(9)), (1, 7, 2.0, day(8)), (9, 7, 50.0, day(1)), (9, 8, 1.0, day(2))], schema.format("int"))
+    online = spark.createDataFrame([(2, "7", 1.0, day(30)), (9, "9", 4.0, day(5)), (1, "x", 9.0, day(3))], schema.format("string"))
+    earlier = spark.createDataFrame([(1, 7, 0.0, dt.date(1970, 1, 1)), (1, 6, 0.0, dt.date(1970, 1, 1)), (9, 5, 0.0, day(1))], schema.format("int"))
+    caps = sales.build_caps(spark, shops, online, str(tmp_path / "caps"), [1, 2])
+    assert rows(caps) == [(0, 9.0, 9.0), (7, 3.0, 3.0)]
+    first = sales.build_first_sale(spark, shops, online, earlier, str(tmp_path / "first"), [1, 2])
+    assert rows(first) == [(6, agg.NEVER_SOLD), (7, day(8)), (9, day(5))]
+
+
 def test_table_refresh(spark, tmp_path):
     schema = "item int, loc int, price double, created_dttm int, is_actual string"
     raw, target = str(tmp_path / "raw"), str(tmp_path / "ods")
