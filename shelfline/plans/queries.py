@@ -378,7 +378,7 @@ def asof_future(i: Inputs) -> DataFrame:
     days, priced = _sales_days(i)
     return asof.asof_join(
         days, priced, ["item"], "day",
-        {"purchase_price": "price_future", "day": "day_future"}, "forward", strict=True, span=91).drop("day")
+        {"purchase_price": "price_future", "day": "day_future"}, "forward", strict=True).drop("day")
 
 
 def _item_weeks(i: Inputs) -> DataFrame:

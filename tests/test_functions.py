@@ -8,7 +8,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shelfline.functions import jsondocs, scalars, weeks
+from shelfline.functions import jsondocs, quantile, scalars, weeks
+from shelfline.functions.cuts import with_stretches
 from shelfline.functions.quantile import exact_quantile, value_slice
 
 
@@ -86,6 +87,31 @@ def test_exact_quantile_agrees_with_numpy(spark):
             assert got[k] == pytest.approx(np.quantile(vs, q))
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(20,6)"])
+def test_exact_quantile_of_many_values_in_one_slice(spark, monkeypatch, kind):
+    """100,000 distinct values within 4 %, one with half of the weight, next to small keys: cut again, still exact."""
+    sorted_at_once = []
+
+    def counting(*args):
+        cut = with_stretches(*args)
+        sorted_at_once.append(cut.groupBy("k", "_slice", args[-1]).count().agg(F.max("count")).first()[0])
+        return cut
+
+    monkeypatch.setattr(quantile, "with_stretches", counting)
+    values = 1000 + 40 * np.random.default_rng(3).permutation(100_000) / 100_000
+    weights = np.where(np.arange(100_000) == 17, 100_000, 1)
+    counted = spark.createDataFrame(
+        [("hot", float(v), int(w)) for v, w in zip(values, weights, strict=True)] + [("a", 1.0, 2), ("b", 5.0, 1), ("b", -5.0, 1)],
+        "k string, v double, n long").withColumn("v", F.col("v").cast(kind))
+    whole = np.sort(np.repeat(values, weights))
+    for q in (0.0, 0.31, 0.95, 1.0):
+        got = {r.k: r for r in exact_quantile(counted, ["k"], "v", "n", q, "out", most=2000).collect()}
+        assert float(got["hot"].out) == pytest.approx(np.quantile(whole, q), abs=2e-6)
+        assert got["hot"].rows == 199_999 and float(got["hot"].top) == pytest.approx(whole[-1])
+        assert float(got["a"].out) == 1.0 and float(got["b"].out) == pytest.approx(-5 + 10 * q)
+    assert len(sorted_at_once) == 4 and max(sorted_at_once) < 3000
+
+
 def test_json_lists(spark):
     doc = '{"12963": ["name", "other"], "n": [17], "flat": "x"}'
     families = '[{"id": "a", "type": "STANDARD"}, {"id": "b", "type": "OTHER"}, {"id": "c", "type": "STANDARD"}]'

@@ -54,10 +54,10 @@ def test_capping_keeps_every_line(spark, lines):
     assert got.where(F.col("item") == HOT).agg(F.max("item_qty_processed")).first()[0] == 3.0
 
 
-@pytest.mark.parametrize("span", [None, 10])
-def test_asof_of_a_hot_item(spark, lines, span):
+@pytest.mark.parametrize("most", [10 ** 6, 10])
+def test_asof_of_a_hot_item(spark, lines, most):
     df = spark.createDataFrame(lines).withColumn("day", F.unix_date("sell_date"))
-    got = asof_join(df, df, ["item"], "day", {"total_cost": "before"}, strict=True, span=span).toPandas()
+    got = asof_join(df, df, ["item"], "day", {"total_cost": "before"}, strict=True, most=most).toPandas()
     assert len(got) == len(lines)
     best = lines.groupby(["item", "sell_date"]).total_cost.max().reset_index()
     best["sell_date"] = pd.to_datetime(best.sell_date)
