@@ -378,6 +378,30 @@ for part in ("priced", "rebuild_grid", "rebuilt", "basic_exact", "basic"):
     PARTS[f"chain_{part}"] = re.sub(
         r"\b(FROM|JOIN) (daily|priced|rebuild_grid|weekly|basic_exact)\b", r"\1 chain_\2", PARTS[part])
 PARTS["chain_weekly"] = PARTS["weekly"].replace("FROM daily", "FROM chain_rebuilt")
+
+# The extended marts over the dense calendar, where an item may have sold nothing in all weeks.
+EXTENDED_PARTS = ["store_weeks", "scaled", "item_sums", "by_class", "by_subclass", "by_model", "levels", "level_tops",
+                  "level_scaled", "attr_weeks", "attr_store_weeks"]
+for part in EXTENDED_PARTS:
+    PARTS[f"chain_{part}"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(EXTENDED_PARTS)})\b", r"\1 chain_\2", PARTS[part])
+PARTS["chain_store_weeks"] = PARTS["chain_store_weeks"].replace("FROM daily", "FROM chain_rebuilt").replace(
+    "sum(item_qty)", exact_sum("item_qty"))
+PARTS["chain_daily"] = PARTS["chain_daily"].replace(
+    "sum(least(item_qty, item_qty_max_offline))", exact_sum("least(item_qty, item_qty_max_offline)"))
+PARTS["chain_item_sums"] = PARTS["chain_item_sums"].replace("sum(week_item_qty)", exact_sum("week_item_qty"))
+for part, value in (("attr_weeks", "sum_item_qty"), ("attr_store_weeks", "week_item_qty")):
+    PARTS[f"chain_{part}"] = re.sub(
+        rf"{value} / (\(SELECT max.*?\)) AS", rf"coalesce({value} / nullif(\1, 0), 0) AS", PARTS[f"chain_{part}"], flags=re.S)
+add_feature_parts("chain_items", "chain_attr_weeks", ["item"], BY_ITEM, EXTENDED_REACH)
+add_feature_parts("chain_pairs", "chain_attr_store_weeks", ["store", "item"], BY_STORE, EXTENDED_REACH)
+
+
+def rounded_masked(prefix: str, keys: list[str], measures: list[Measure]) -> str:
+    names = [m.column for m in measures] + sum(feature_names(measures, EXTENDED_REACH), [])
+    return (f"SELECT year, week, week_num, {', '.join(keys)}, {r(*names)} "
+            f"FROM ({masked(prefix, keys, measures, EXTENDED_REACH)})")
+
+
 STORE_LIST = "(1, 2, 3, 5, 8)"
 WEEK_NAMES = [2818 + i for i in range(5)]
 
@@ -608,6 +632,8 @@ ORACLES: dict[str, str] = {
                round(avg(item_qty), 6) AS avg_item_qty, round(avg(purchase_price), 6) AS avg_purchase_price
         FROM rebuilt GROUP BY ALL""",
     "chain_basic": week_features("chain_basic", ["store", "item"], BASIC, BASIC_REACH),
+    "chain_extended": rounded_masked("chain_items", ["item"], BY_ITEM),
+    "chain_extended_store": rounded_masked("chain_pairs", ["store", "item"], BY_STORE),
     "week_calendar": "SELECT * FROM calendar",
     "features_by_week": "SELECT * FROM basic_by_week",
     "features_by_year": "SELECT * FROM basic_by_year",

@@ -664,16 +664,40 @@ def weekly_rebuild(i: Inputs) -> DataFrame:
     return agg.agg_week_store_item(daily)
 
 
-@register_as_is
-def chain_basic(i: Inputs) -> DataFrame:
-    """The basic run from ticket lines to features: caps, capped days, dense newest weeks, weekly sales, offsets."""
+def _capped_dense_days(i: Inputs) -> DataFrame:
+    """Caps, capped days and the dense calendar of the newest weeks, from ticket lines."""
     caps = agg.outlier_caps(i.tickets().where(~F.col("online")), i.tickets().where("online"))
     capped = materialize(agg.agg_day_store_item(agg.cap_quantities(i.tickets(), caps)), "capped-days")
     loaded = i.tickets().select(weeks.week_number(F.col("sell_date")).alias("week_num"))
     bounds = agg.load_bounds(loaded, i.tickets(), sales.EXTENDED_REBUILD_WEEKS)
-    dense_days = sales.rebuild_daily(capped, bounds, agg.first_sale_date(i.sale_sources()))
+    return sales.rebuild_daily(capped, bounds, agg.first_sale_date(i.sale_sources()))
+
+
+@register_as_is
+def chain_basic(i: Inputs) -> DataFrame:
+    """The basic run from ticket lines to features: caps, capped days, dense newest weeks, weekly sales, offsets."""
     return feat.offset_features(
-        rounded(sales.basic_weekly(dense_days)), ["store", "item"], feat.BASIC, feat.BASIC_REACH)
+        rounded(sales.basic_weekly(_capped_dense_days(i))), ["store", "item"], feat.BASIC, feat.BASIC_REACH)
+
+
+def _extended_chain(i: Inputs, by_store: bool) -> DataFrame:
+    """The extended run over the dense newest weeks: weekly tickets, stock, hierarchy means, masked features."""
+    tickets = materialize(hier.agg_tickets_by_store(
+        _capped_dense_days(i), i.item_dates(), hier.item_attr(i.item_master(), i.products())), "store-weeks")
+    means = _means(i, tickets)
+    weekly = hier.attr_by_store(tickets, *means) if by_store else hier.attr_by_week(agg.sum_tickets_by_week(tickets), *means)
+    calendar = _calendar(i)
+    return sales.extended_features(materialize(weekly, "attr-weeks"), calendar, i.exceptions(calendar), by_store)
+
+
+@register
+def chain_extended(i: Inputs) -> DataFrame:
+    return _extended_chain(i, by_store=False)
+
+
+@register
+def chain_extended_store(i: Inputs) -> DataFrame:
+    return _extended_chain(i, by_store=True)
 
 
 @register
