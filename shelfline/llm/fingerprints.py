@@ -1,19 +1,21 @@
 """Document fingerprints: threshold-scaled sketches, with DataFrame functions only.
 
 A text's sketch keeps every hash of its five-word shingles below a fixed fraction of
-the hash range. Sketches of parts merge into the sketch of the whole by union, and
+the hash range, and always its least one, so that a text with words never has an
+empty sketch. Sketches of parts merge into the sketch of the whole (``merged``), and
 the share of the smaller one found in the larger estimates containment however
-unequal the documents are. A text with few hashes below the fraction keeps its
-smallest ones up to a floor instead; its own bound is part of the sketch, and two
-sketches are compared below the lower of their bounds.
+unequal the documents are. Texts of few words keep few hashes, so their estimates are
+coarse; equal texts have likeness 1 at every length.
 
 Defined cases: a null text is an empty text; a text of one to four words is one
 shingle; a text without words has an empty sketch, which equals another empty one
 (likeness 1) and nothing else (0). In the query, rows with the same doc_id count as
 one place in the order of documents: their next document is the one with the next
 larger id (null ids last), and of several texts with that id the one with the
-smallest sha256. With a single id, a document's next document is itself. Extra
-columns do no harm; an empty table gives an empty result.
+smallest sha256. With a single id, a document's next document is itself. Repeated
+shingles and repeated rows count once and each; very long texts are hashed whole, by
+functions over one array per text. Extra columns do no harm; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -25,15 +27,15 @@ from shelfline.llm.common import let, running_sums, table
 from shelfline.session import materialize
 
 WIDTH = 5
-KEPT_BITS = 4
-FLOOR = 32
-LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+KEPT_BITS = 3
+BOUND = -(1 << 63) + (1 << (64 - KEPT_BITS))
 SPACES = r"[\x20\x09-\x0D]+"
+UPPER = "".join(chr(c) for c in range(65, 91))
 
 
 def shingles(text: Column, width: int = WIDTH) -> Column:
     """Hashes of the word shingles of a text, A-Z lower-cased, in order, with repeats."""
-    words = F.filter(F.split(F.lower(text), SPACES), lambda w: w != "")
+    words = F.filter(F.split(F.translate(text, UPPER, UPPER.lower()), SPACES), lambda w: w != "")
 
     def of(h: Column) -> Column:
         every = F.transform(F.sequence(F.lit(0), F.size(h) - width),
@@ -44,38 +46,34 @@ def shingles(text: Column, width: int = WIDTH) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
-def sketch(text: Column, kept_bits: int = KEPT_BITS, floor: int = FLOOR) -> Column:
-    """struct(bound, hashes): the sorted distinct shingle hashes below the bound."""
-    fixed = F.lit(LOWEST + (1 << (64 - kept_bits)))
+def kept(hashes: Column) -> Column:
+    """Of shingle hashes, sorted and distinct, those below the bound; the least one if there is none."""
+    below = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < BOUND)))
+    return let(below, lambda found: F.when(
+        (F.size(found) > 0) | (F.size(hashes) == 0), found).otherwise(F.array(F.array_min(hashes))))
 
-    def few(hashes: Column) -> Column:
-        return let(F.array_sort(F.array_distinct(hashes)), lambda s: F.when(
-            F.size(s) <= floor, F.struct(F.lit(HIGHEST).alias("bound"), s.alias("hashes"))).otherwise(
-            F.struct((F.element_at(s, floor) + 1).alias("bound"), F.slice(s, 1, floor).alias("hashes"))))
 
-    def of(hashes: Column) -> Column:
-        return let(F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < fixed))), lambda kept: F.when(
-            F.size(kept) >= floor, F.struct(fixed.alias("bound"), kept.alias("hashes"))).otherwise(few(hashes)))
+def sketch(text: Column) -> Column:
+    """The hashes that a text's sketch keeps."""
+    return let(shingles(text), kept)
 
-    return let(shingles(text), of)
+
+def merged(a: Column, b: Column) -> Column:
+    """The sketch of all shingles that two sketches stand for."""
+    return let(F.concat(a, b), kept)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated share of the smaller sketch's shingles that the other has too."""
-    bound = F.least(a["bound"], b["bound"])
-
-    def below(one: Column) -> Column:
-        return F.filter(one["hashes"], lambda h: h < bound)
-
-    least = F.least(F.size(below(a)), F.size(below(b)))
-    return (F.when((F.size(a["hashes"]) == 0) & (F.size(b["hashes"]) == 0), F.lit(1.0))
+    least = F.least(F.size(a), F.size(b))
+    return (F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0))
             .when(least == 0, F.lit(0.0))
-            .otherwise(F.size(F.array_intersect(below(a), below(b))) / least))
+            .otherwise(F.size(F.array_intersect(a, b)) / least))
 
 
 def fingerprint(one: Column) -> Column:
-    """The sketch as text: its bound and hashes in hexadecimal digits."""
-    return F.concat(F.hex(one["bound"]), F.lit(":"), F.array_join(F.transform(one["hashes"], lambda h: F.hex(h)), "."))
+    """The sketch as text: its hashes in hexadecimal digits."""
+    return F.array_join(F.transform(one, lambda h: F.hex(h)), ".")
 
 
 def next_ids(lengths: DataFrame) -> DataFrame:

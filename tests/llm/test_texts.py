@@ -6,11 +6,13 @@ import hashlib
 import math
 import random
 import re
+import struct
 import sys
 from pathlib import Path
 
 import duckdb
 import pytest
+import xxhash
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -152,6 +154,64 @@ def test_likeness_estimates_containment(spark):
     assert got[0] > 0.9 and got[1] < 0.1
 
 
+def plain_sketch(text):
+    """The same sketch by loops over words, with the public hash library."""
+    def chained(values):
+        seed = 42
+        for value in values:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", value), seed & (2 ** 64 - 1))
+            seed -= 2 ** 64 if seed >= 2 ** 63 else 0
+        return seed
+
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = [struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(w.encode(), 42)))[0]
+             for w in re.split("[\x20\x09-\x0d]+", lower) if w]
+    found = {chained(words[n:n + 5]) for n in range(max(len(words) - 4, 1))} if words else set()
+    return sorted(h for h in found if h < fingerprints.BOUND) or sorted(found)[:1]
+
+
+def test_sketches_and_likeness_against_loops(spark):
+    texts = ["", " \t\n", "one", "Four words ÄÖ Here", "five words are one shingle", "a " * 50, invented(0, 5, 90), invented(0, 5, 90).upper(),
+             "ÀB c\x0bd\x0ce f\u00a0g h", invented(0, 9, 8000)]
+    pairs = spark.createDataFrame([(n, m, a, b) for n, a in enumerate(texts) for m, b in enumerate(texts)], "n int, m int, a string, b string")
+    marked = pairs.select("n", "m", fingerprints.sketch(F.col("a")).alias("a"), fingerprints.sketch(F.col("b")).alias("b"))
+    for r in marked.select("*", fingerprints.likeness(F.col("a"), F.col("b")).alias("like"),
+                           fingerprints.merged(F.col("a"), F.col("b")).alias("both")).collect():
+        a, b = plain_sketch(texts[r.n]), plain_sketch(texts[r.m])
+        least = min(len(a), len(b))
+        assert r.a == a and r.b == b
+        assert r.like == (1.0 if not a and not b else 0.0 if not least else len(set(a) & set(b)) / least)
+        everything = sorted(set(a) | set(b))
+        assert r.both == ([h for h in everything if h < fingerprints.BOUND] or everything[:1])
+        assert r.n != r.m or r.like == 1.0
+
+
+def test_sketches_of_parts_merge_into_that_of_the_whole(spark):
+    words = invented(0, 4, 900).split()
+    parts = [" ".join(words[:304]), " ".join(words[300:310]), " ".join(words[306:])]
+    got = spark.createDataFrame([(*parts, " ".join(words))], "a string, b string, c string, d string").select(
+        *[fingerprints.sketch(F.col(c)).alias(c) for c in "abcd"]).select(
+        fingerprints.merged(fingerprints.merged(F.col("a"), F.col("b")), F.col("c")).alias("parts"), "d").first()
+    assert got.parts == got.d and len(got.d) > 50
+
+
+def test_fingerprints_of_odd_tables(spark, tmp_path):
+    def run(df, name):
+        return fingerprints.op4_fingerprints(spark, write(df, tmp_path / name))
+
+    empty = run(documents(spark, []).limit(0), "empty")
+    assert empty.count() == 0 and {"doc_id", "fingerprint", "near_next"} <= set(empty.columns)
+    long = invented(0, 6, 40_000)
+    texts = [(1, long), (1, long), (2, "a b c"), (None, None), (None, "x")]
+    odd = documents(spark, texts).withColumns({"hashes": F.lit(1), "next_id": F.lit(2), "before_id": F.lit(3)})
+    out = run(odd, "odd").collect()
+    assert len(out) == 5 and all(r.near_edited is not None and r.near_next is not None for r in out)
+    hot = [r for r in out if r.doc_id == 1]
+    assert hot[0] == hot[1] and hot[0].n_chars == len(long) and len(hot[0].fingerprint.split(".")) > 1000
+    alone = run(documents(spark, [(9, "a b c d e f")]), "alone").first()
+    assert alone.near_next == 1.0
+
+
 # ------------------------------------------------------------------------ licenses
 
 def test_license_places_and_suppression(spark):
