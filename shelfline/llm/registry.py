@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import (
-    embeddings, fingerprints, licenses, lines, mixing, neardups, periods, pieces, quality, sharding, suffixes, toxicity, tries)
+    embeddings, fingerprints, licenses, lines, mixing, neardups, oracles, periods, pieces, quality, sharding, suffixes, toxicity, tries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,4 +31,11 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mixing": mixing.OP1_SQL, "op12_tries": tries.OP12_SQL}
+    return {
+        "op1_mixing": mixing.OP1_SQL,
+        "op2_embeddings": oracles.OP2_SQL,
+        "op10_minhash": oracles.OP10_SQL,
+        "op11_suffixes": oracles.OP11_SQL,
+        "op12_tries": tries.OP12_SQL,
+        "op13_periods": oracles.OP13_SQL,
+    }
