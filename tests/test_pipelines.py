@@ -181,3 +181,36 @@ def test_extended_marts_on_storage(spark, inputs, tmp_path):
     assert len(features.columns) == 4 + 5 + 90 + 125
     assert len(read_table(spark, marts.path("features_by_store")).columns) == 5 + 5 + 90 + 125
     assert features.count() > 0
+    assert set(w for w, in rows(features, "week_num")).isdisjoint(w for w, in rows(inputs.exceptions(calendar), "week_num"))
+
+
+def test_extended_marts_follow_a_changed_dictionary(spark, inputs, tmp_path):
+    """Built twice: the second dictionary alone tells which weeks are left out and which values are blank."""
+    marts = sales.ExtendedMarts(str(tmp_path / "marts"))
+    days = inputs.daily().where(F.col("sell_date") >= dt.date(2000, 9, 1))
+    stock = agg.agg_stock_by_store(inputs.stock().where(F.col("snapshot") >= dt.date(2000, 9, 1)))
+    attributes = hier.item_attr(inputs.item_master(), inputs.products())
+    calendar = feat.week_calendar(hier.agg_tickets_by_store(days, inputs.item_dates(), attributes))
+    # A dictionary year hides values of its own weeks only, so both weeks lie well inside one.
+    inside = sorted(w for w, in rows(calendar.where("year = 2001 AND week > 4"), "week_num"))[:9]
+
+    def build(hidden):
+        exceptions = calendar.where(F.col("week_num").isin(hidden)).select(
+            "year", "week_num", (F.col("week_num") + 52).alias("next_week_num"))
+        sales.build_extended_marts(spark, days, inputs.item_dates(), attributes, stock, exceptions, marts)
+        wide = read_table(spark, marts.path("features_by_store"))
+        return {(r.store, r.item, r.week_num): r for r in wide.select(
+            "store", "item", "week_num", "avg_purchase_price",
+            *[f"avg_purchase_price_{side}_w{n}" for side in ("prev", "next") for n in (1, 2, 3)]).collect()}
+
+    first, second = build([inside[0]]), build([inside[6]])
+    sold = {(r.store, r.item, r.week_num): r.sum_purchase_price / r.count_tickets
+            for r in read_table(spark, marts.path("tickets_by_store")).collect()}
+    assert first.keys() == {k for k in sold if k[2] != inside[0]}
+    assert second.keys() == {k for k in sold if k[2] != inside[6]}
+    for found, hidden in ((first, inside[0]), (second, inside[6])):
+        for (store, item, week), r in found.items():
+            assert r.avg_purchase_price == sold[store, item, week]
+            for n in (1, 2, 3):
+                for there, value in ((week - n, r[f"avg_purchase_price_prev_w{n}"]), (week + n, r[f"avg_purchase_price_next_w{n}"])):
+                    assert value == (None if there == hidden else sold.get((store, item, there)))
