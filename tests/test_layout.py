@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.exact import LIMIT, exact_sum
 from shelfline.operators import aggregates as agg
 from shelfline.operators import clustering
+from shelfline.operators import features as feat
 from shelfline.operators import hierarchy as hier
 from shelfline.operators.densify import densify_prices
 from shelfline.plans import inputs, queries
@@ -122,3 +123,14 @@ def test_vectors_are_dealt_over_counted_tasks(spark, monkeypatch):
     weekly = spark.range(45).selectExpr("id AS item", "CAST(id % 3 AS INT) AS week_num", "CAST(id AS DOUBLE) AS value")
     _, vectors = clustering._best_model(weekly, "value", "week_num", 2, 1, 2, 0.01, 0)
     assert vectors.rdd.getNumPartitions() == 5 and vectors.count() == 45
+
+
+def test_masked_lookups_leave_the_slices_alone(spark):
+    rows_of = spark.createDataFrame([(2000, w, 1565 + w, 1, *[float(w)] * 5) for w in range(1, 40)],
+                                    f"year int, week int, week_num int, item int, {', '.join(f'{m.column} double' for m in feat.BY_ITEM)}")
+    exceptions = spark.createDataFrame([(2000, 1575, 1627)], "year int, week_num int, next_week_num int")
+    got = feat.masked_features(rows_of, feat.week_calendar(rows_of), exceptions, ["item"], feat.BY_ITEM, feat.EXTENDED_REACH)
+    assert "transform(_w#" not in got._jdf.queryExecution().optimizedPlan().toString()
+    plain = feat.mask_exceptions(feat.week_and_year_features(
+        rows_of, feat.week_calendar(rows_of), ["item"], feat.BY_ITEM, feat.EXTENDED_REACH), exceptions, feat.BY_ITEM, feat.EXTENDED_REACH)
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(plain.select(*got.columns))))
