@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.exact import LIMIT, exact_sum
 from shelfline.operators import aggregates as agg
-from shelfline.operators import clustering
+from shelfline.operators import clustering, keyed
 from shelfline.operators import features as feat
 from shelfline.operators import hierarchy as hier
 from shelfline.operators.densify import densify_prices
@@ -118,6 +118,14 @@ def test_exact_sums_near_the_limit(spark):
         assert s == float(sum(p for p, _ in parts)) / 2.0 ** 20 + float(sum(r for _, r in parts)) / 2.0 ** 63
 
 
+@pytest.mark.parametrize("name", ["attr_by_week", "attr_by_store"])
+def test_attributes_stay_in_counted_tasks_and_are_the_same_without_broadcasts(spark, folder, small_tasks, monkeypatch, name):
+    want = rows(queries.all_queries()[name](spark, folder))
+    monkeypatch.setattr(keyed, "within_broadcast", lambda df: False)
+    found = queries.all_queries()[name](spark, folder)
+    assert found.rdd.getNumPartitions() == 7 and sorted(map(str, rows(found))) == sorted(map(str, want))
+
+
 def test_vectors_are_dealt_over_counted_tasks(spark, monkeypatch):
     monkeypatch.setattr(clustering, "ITEMS_PER_TASK", 10)
     weekly = spark.range(45).selectExpr("id AS item", "CAST(id % 3 AS INT) AS week_num", "CAST(id AS DOUBLE) AS value")
