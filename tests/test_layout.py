@@ -17,7 +17,7 @@ from shelfline.operators import clustering, keyed
 from shelfline.operators import features as feat
 from shelfline.operators import hierarchy as hier
 from shelfline.operators.densify import densify_prices
-from shelfline.plans import inputs, queries
+from shelfline.plans import inputs, queries, sales
 
 LINES = 240
 
@@ -142,3 +142,11 @@ def test_masked_lookups_leave_the_slices_alone(spark):
     plain = feat.mask_exceptions(feat.week_and_year_features(
         rows_of, feat.week_calendar(rows_of), ["item"], feat.BY_ITEM, feat.EXTENDED_REACH), exceptions, feat.BY_ITEM, feat.EXTENDED_REACH)
     assert sorted(map(str, rows(got))) == sorted(map(str, rows(plain.select(*got.columns))))
+
+
+def test_basic_features_deal_the_weeks_once(spark, folder, small_tasks):
+    found = queries.all_queries()["features_v1"](spark, folder)
+    assert plan(found).count("REPARTITION_BY_NUM") == 1
+    i = inputs.Inputs(spark, folder)
+    weekly = queries.rounded(sales.basic_weekly(i.daily()))
+    assert rows(found) == rows(queries.rounded(sales.basic_features_by_item(weekly)))
