@@ -48,3 +48,11 @@ def test_level_means_do_not_depend_on_partitions(spark):
     for level in hier.LEVELS:
         found = {tuple(sorted(tuple(map(str, r)) for r in hier.avg_by_level(df.repartition(n), level).collect())) for n in (1, 8, 211)}
         assert len(found) == 1
+
+
+def test_sums_of_values_that_count_several_times(spark):
+    data = [(k, v, n % 4) for n, (k, v) in enumerate(values(3))]
+    df = spark.createDataFrame(data, "k int, v double, n int")
+    repeated = results(df.selectExpr("k", "v", "explode(array_repeat(0, n))"))
+    got = df.groupBy("k").agg(exact_sum(F.col("v"), F.col("n")).alias("s"), exact_mean(F.col("v"), F.col("n")).alias("m"))
+    assert {r.k: (r.s, r.m) for r in got.collect()} == repeated

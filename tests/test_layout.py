@@ -150,3 +150,37 @@ def test_basic_features_deal_the_weeks_once(spark, folder, small_tasks):
     i = inputs.Inputs(spark, folder)
     weekly = queries.rounded(sales.basic_weekly(i.daily()))
     assert rows(found) == rows(queries.rounded(sales.basic_features_by_item(weekly)))
+
+
+def test_scaled_weeks_are_laid_out_once(spark):
+    tickets = spark.createDataFrame(
+        [(2000, 1, w, s, i, "1|2|A", "3", float(q)) for w, s, i, q in [
+            (1, 1, 5, 4), (1, 2, 5, 6), (2, 1, 5, 8), (2, 2, 5, 3), (None, 1, 5, 8), (1, None, 5, 2), (1, 1, None, 9), (3, 1, 5, 0)]],
+        "year int, week int, week_num int, store int, item bigint, dept_class_subclass string, model string, week_item_qty double")
+    # Twice a record of one store week, records without a key, and one without sales.
+    stock = spark.createDataFrame(
+        [(1, 1, 5), (1, 1, 5), (1, 2, 5), (2, 1, 5), (None, 1, 5), (1, None, 5), (1, 1, None), (3, 1, 5), (9, 9, 9)],
+        "week_num int, store short, item bigint")
+    found = hier.avg_scaled_with_stock(tickets, stock, 3)
+    assert plan(found).count("Exchange hashpartitioning") == 1
+    assert rows(found, "week_num", "item", "avg_item_qty_scaled_with_stock") == sorted(
+        [(1, 5, (2 * 0.5 + 1.0) / 3), (2, 5, 1.0), (None, 5, None), (1, None, None), (3, 5, 0.0)], key=repr)
+    assert rows(found) == rows(hier.avg_scaled_with_stock(tickets, stock))
+
+
+def test_frequent_keys_are_counted_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "within_broadcast", lambda df: False)
+    spark.range(300).selectExpr("nullif(id % 7, 0) AS k", "nullif(id % 3, 0) AS j", "id AS n").write.parquet(f"{tmp_path}/rows")
+    spark.range(-1, 6).selectExpr("nullif(id, -1) AS k", "id % 2 AS j", "id * 10 AS v").write.parquet(f"{tmp_path}/lookup")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df, lookup = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("rows", "lookup"))
+        found = keyed.heavy_join(df, lookup, ["k", "j"], parts=15)
+        # The other use of the count takes over what the first one has shuffled.
+        assert plan(found).count("+- Exchange hashpartitioning(k") == 1 and "ReusedExchange" in plan(found)
+        want = [(k or None, j or None, n, k * 10 if k and j and k < 6 and k % 2 == j else None)
+                for n in range(300) for k, j in [(n % 7, n % 3)]]
+        assert rows(found) == sorted(want, key=repr)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
