@@ -132,3 +132,27 @@ def test_store_weeks_take_one_shuffle_of_the_lines(spark, lines, monkeypatch):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_wide_features_are_not_compiled_into_one_method(spark, odd_weeks):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = feat.offset_features(odd_weeks, ["item"], MEASURES, REACH)
+        # A star marks what Spark compiles as a whole.
+        top = found._jdf.queryExecution().executedPlan().toString().split("\n")[0]
+        assert top.startswith("Project") and "price_next_w4" in top
+        assert found.dtypes[:3] == odd_weeks.dtypes[:3]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_values_are_rounded_once_per_week(spark, odd_weeks):
+    weekly = odd_weeks.withColumns({"qty_scaled": F.col("qty_scaled") / 7, "price": F.col("price") / 3})
+    calendar = spark.createDataFrame([(n, n - 52) for n in range(130)], "week_num int, prev_week_num int")
+    exceptions = spark.createDataFrame([(101, 80, 132)], "year int, week_num int, next_week_num int")
+    plain = feat.masked_features(weekly, calendar, exceptions, ["item"], MEASURES, REACH)
+    got = feat.masked_features(weekly, calendar, exceptions, ["item"], MEASURES, REACH, 2)
+    want = plain.select(*[F.round(c, 2).alias(c) if t == "double" else c for c, t in plain.dtypes])
+    assert got.dtypes == want.dtypes and rows(got) == rows(want) != rows(plain)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("round(") < 30
