@@ -126,7 +126,7 @@ def test_store_weeks_take_one_shuffle_of_the_lines(spark, lines, monkeypatch):
         assert plan.count("- Exchange hashpartitioning(store") == plan.count("- Exchange hashpartitioning(year") == 0
         assert len(re.findall(r"- Exchange hashpartitioning\(item#\d+L?, _deal#\d+, 5\), REPARTITION_BY_NUM", plan)) == 1
         alone = agg.agg_day_store_item(lines).repartition(5, "item")
-        found = hier.agg_tickets_by_store(alone, dates, attributes, by_item=True)
+        found = hier.agg_tickets_by_store(alone, dates, attributes.repartition(8, "item"), tasks=5)
         assert rows(found) == want and found.rdd.getNumPartitions() == 5
         assert found._jdf.queryExecution().executedPlan().toString().count("- Exchange hashpartitioning(year") == 0
     finally:
@@ -134,6 +134,24 @@ def test_store_weeks_take_one_shuffle_of_the_lines(spark, lines, monkeypatch):
             spark.conf.set(name, value)
 
 
+def test_lines_meet_their_caps_where_they_are_added_up(spark, lines, monkeypatch):
+    tickets = lines.select("store", "item", "sell_date", F.col("item_qty_raw").alias("item_qty"), "total_cost")
+    caps = spark.createDataFrame([(7, 3.0), (100, 2.0), (None, 1.0)], "item bigint, item_qty_max_offline double")
+    want = rows(agg.agg_day_store_item(agg.cap_quantities(tickets, caps)))
+    monkeypatch.setattr(keyed, "within_broadcast", lambda df: False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = tickets.select("item")
+        capped = agg.cap_quantities(keyed.dealt_by(tickets, ["item"], ["store"], 5, items), caps, counted=items)
+        days = agg.agg_day_store_item(capped).drop(keyed.DEAL)
+        plan = days._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(sell_date" not in plan and "hashpartitioning(store" not in plan
+        assert rows(days) == want and days.rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_wide_features_are_not_compiled_into_one_method(spark, odd_weeks):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
